@@ -18,4 +18,4 @@ from gridlake.functions.columns import (  # noqa: F401
     to_int64,
     to_numeric,
 )
-from gridlake.functions.measures import mean, total  # noqa: F401
+from gridlake.functions.measures import mean, total, whole_units  # noqa: F401

@@ -1,8 +1,6 @@
 """Scalar column helpers, all built from JVM-side expressions."""
 
 import re
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -22,9 +20,7 @@ def normalize_name(name):
 
 def null_safe_sum(columns: list[str]) -> Column:
     """Row-wise sum with NULL counted as zero; 0.0 for no columns."""
-    if not columns:
-        return F.lit(0.0)
-    return reduce(add, [F.coalesce(F.col(f"`{c}`"), F.lit(0.0)) for c in columns])
+    return F.expr(" + ".join(f"coalesce(`{c}`, 0D)" for c in columns) or "0D")
 
 
 def guarded_ratio(part: Column, whole: Column) -> Column:

@@ -12,11 +12,15 @@ def _over(aggregate: Column, window: WindowSpec | None) -> Column:
     return aggregate if window is None else aggregate.over(window)
 
 
+def whole_units(column: Column, scale: int) -> Column:
+    """A measure with at most `scale` decimals as a whole number of its smallest unit."""
+    return F.rint(column.cast("double") * float(10 ** scale)).cast("bigint")
+
+
 def total(column: Column, scale: int | None = None, over: WindowSpec | None = None) -> Column:
     if scale is None:
         return _over(F.sum(column), over)
-    unit = F.lit(float(10 ** scale))
-    return _over(F.sum(F.round(column * unit).cast("bigint")), over) / unit
+    return _over(F.sum(whole_units(column, scale)), over) / float(10 ** scale)
 
 
 def mean(column: Column, scale: int | None = None, over: WindowSpec | None = None) -> Column:

@@ -2,12 +2,12 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridlake.constants import (
     FOSSIL_FUELS, FUEL_TYPES, GENERATION_DIRECTION, RENEWABLE_FUELS, SOLAR_MARK, WIND_MARK,
 )
-from gridlake.functions import guarded_ratio, normalize_name, null_safe_sum, total
+from gridlake.functions import guarded_ratio, mean, normalize_name, null_safe_sum, whole_units
 
 HOUR_KEYS = ["date", "timestamp", "zone"]
 
@@ -22,18 +22,40 @@ def discover_fuels(gen: DataFrame) -> list[str]:
     return sorted(r.fuel for r in rows.distinct().collect())
 
 
+def _quoted(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def fuel_slot(fuel: str, fuels: list[str]) -> Column:
+    """Position of the column `fuel` in the list of normalized names, NULL if it is not in it.
+
+    The known spellings are looked up directly; only others go through the pattern.
+    """
+    known = {f: fuels.index(normalize_name(f)) for f in FUEL_TYPES if normalize_name(f) in fuels}
+    listed = ", ".join(_quoted(f) for f in fuels)
+    other = (F.array_position(F.expr(f"array({listed})"), normalize_name(F.col(fuel))) - 1).cast("int")
+    if not known:
+        return other
+    spelled = ", ".join(f"{_quoted(f)}, {slot}" for f, slot in known.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({spelled})"), F.col(fuel)), other)
+
+
 def pivot_generation(gen: DataFrame, fuels: list[str] | None = None, keys=HOUR_KEYS,
                      scale: int | None = None) -> DataFrame:
     """One row per zone-hour with one summed column per fuel.
 
     `fuels` are normalized column names, the fixed list by default so that every day has the same
-    table shape.  One conditional sum per fuel needs a single shuffle of pre-aggregated rows, where
-    a pivot plans two.
+    table shape; rows of other fuels still make their zone-hour appear.  One conditional sum per fuel
+    needs a single shuffle of pre-aggregated rows, where a pivot plans two.  `scale` as in
+    :mod:`gridlake.functions.measures`.
     """
     fuels = fuel_columns() if fuels is None else fuels
-    tagged = gen.select(*keys, "generation_mw", normalize_name(F.col("fuel_type")).alias("fuel"))
-    return tagged.groupBy(*keys).agg(*[
-        total(F.when(F.col("fuel") == f, F.col("generation_mw")), scale).alias(f) for f in fuels
+    amount, unit = F.col("generation_mw"), ""
+    if scale is not None:
+        amount, unit = whole_units(amount, scale), f" / {10 ** scale}D"
+    slotted = gen.select(*keys, amount.alias("amount"), fuel_slot("fuel_type", fuels).alias("slot"))
+    return slotted.groupBy(*keys).agg(*[
+        F.expr(f"sum(CASE WHEN slot = {i} THEN amount END){unit} AS `{f}`") for i, f in enumerate(fuels)
     ])
 
 
@@ -97,7 +119,5 @@ def flatten_names(df: DataFrame) -> DataFrame:
 def hourly(df: DataFrame, value: str, ts: str = "timestamp", keys=("date", "zone"),
            scale: int | None = None) -> DataFrame:
     """Resample sub-hourly rows to hourly means; hourly rows come out unchanged."""
-    from gridlake.functions import mean
-
     bucket = df.withColumn(ts, F.date_trunc("hour", F.col(ts)).cast(df.schema[ts].dataType))
     return bucket.groupBy(*keys, ts).agg(mean(F.col(value), scale).alias(value))

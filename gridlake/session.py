@@ -18,6 +18,8 @@ def get_spark(app_name: str = "gridlake", **conf) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Recording the caller of every column expression costs more than building the plan.
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }

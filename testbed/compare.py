@@ -17,7 +17,8 @@ def session(cores: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName("gridlake-checks")
         .config("spark.sql.shuffle.partitions", cores).config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -300,7 +300,7 @@ _SOURCES = {
         value as zap_kse, cast({INTERVAL} as bigint) as znacznik from events"""),
     "quotes_landed": ("quotes", "select * replace (replace(ticker, ' ', '_') as ticker) from quotes"),
     "month_table": ("wide", "select * from wide where date between date '2024-01-10' and date '2024-01-20'"),
-    "land_and_scan": ("prices", """select timestamp, price_eur_mwh, zone, zone as country,
+    "land_and_scan": ("prices", """select timestamp, price_eur_mwh, zone, 'EU' as country,
         cast(date as varchar) as dt from prices where date between date '2024-01-10' and date '2024-01-19'"""),
     "load_prices": ("prices", """select date, timestamp, zone, case when date >= date '2024-01-20'
         then price_eur_mwh + 1 else price_eur_mwh end as price_eur_mwh from prices"""),

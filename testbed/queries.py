@@ -406,7 +406,7 @@ def land_and_scan(spark, sf_dir):
     path = scratch(spark, "landing")
     prices = derive.prices(spark, sf_dir).select(
         F.col("timestamp").cast("timestamp"), "price_eur_mwh", "zone",
-        F.col("zone").alias("country"), F.col("date").cast("string").alias("dt"))
+        F.lit("EU").alias("country"), F.col("date").cast("string").alias("dt"))
     sinks.land(prices, path)
     read = landing.scan_landing(spark, path, schemas.LANDED_PRICES, "2024-01-1*")
     return plain(read)
@@ -428,7 +428,7 @@ def load_generation(spark, sf_dir):
     landed, stored = scratch(spark, "landing"), scratch(spark, "generation")
     gen = derive.generation(spark, sf_dir).select(
         F.col("timestamp").cast("timestamp"), "fuel_type", "generation_mw", "zone",
-        F.col("zone").alias("country"), F.col("date").cast("string").alias("dt"))
+        F.col("zone").alias("country"), F.lit("2024-12-31").alias("dt"))
     sinks.land(gen, landed)
     for _ in range(2):  # the second load replaces the first
         loads.load_generation(spark, landed, stored)
