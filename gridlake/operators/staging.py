@@ -6,7 +6,7 @@ from gridlake.constants import DEMAND_SOURCE
 from gridlake.functions import (
     date_of, interval_day, interval_id, local_to_utc, nan_to_null, to_int64, to_numeric,
 )
-from gridlake.operators.windows import keep_latest, trailing_rows_mean
+from gridlake.operators.windows import keep_latest, keep_newest_version, trailing_rows_mean
 
 MIX_COLUMNS = [
     "total_mw", "renewable_mw", "fossil_mw", "renewable_share", "fossil_share", "residual_load_mw",
@@ -98,19 +98,23 @@ def demand_events(records: DataFrame, ingested_at: Column | None = None,
     )
 
 
-def zone_prices(landed: DataFrame) -> DataFrame:
-    """Landed zone prices to table rows: newest chunk wins, NaN becomes NULL, date from the instant."""
-    newest = keep_latest(landed, ["zone", "timestamp"], ["dt"], ties=True)
-    return newest.select(
+def zone_prices(landed: DataFrame, one_chunk: bool = False) -> DataFrame:
+    """Landed zone prices to table rows: NaN becomes NULL, the date comes from the instant.
+
+    A day can lie in several chunks, a yearly and a daily one; the newest wins.  `one_chunk` says that
+    the input is a single `dt`, which needs no comparison.
+    """
+    rows = landed if one_chunk else keep_newest_version(landed, ["zone", "timestamp"], "dt")
+    return rows.select(
         date_of(F.col("timestamp")).alias("date"), "timestamp", "zone",
         nan_to_null(F.col("price_eur_mwh")).alias("price_eur_mwh"),
     )
 
 
-def zone_generation(landed: DataFrame) -> DataFrame:
+def zone_generation(landed: DataFrame, one_chunk: bool = False) -> DataFrame:
     """Landed zone generation to table rows, as :func:`zone_prices`."""
-    newest = keep_latest(landed, ["zone", "timestamp", "fuel_type"], ["dt"], ties=True)
-    return newest.select(
+    rows = landed if one_chunk else keep_newest_version(landed, ["zone", "timestamp", "fuel_type"], "dt")
+    return rows.select(
         date_of(F.col("timestamp")).alias("date"), "timestamp", "zone", "fuel_type",
         nan_to_null(F.col("generation_mw")).alias("generation_mw"),
     )

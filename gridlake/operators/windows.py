@@ -102,15 +102,25 @@ def period_returns(df: DataFrame, value: str = "close_price", steps=RETURN_STEPS
     }), "_pos")
 
 
-def keep_latest(df: DataFrame, keys, order, ties: bool = False) -> DataFrame:
-    """Keep the row with the greatest `order` per key, or all such rows with `ties`.
+def keep_latest(df: DataFrame, keys, order) -> DataFrame:
+    """Keep the row with the greatest `order` per key.
 
     Spark ranks inside every task before the shuffle, so a key with very many copies sends one row
-    per task (all its ties with `ties`).  NULL in `order` loses against any value.
+    per task.  NULL in `order` loses against any value; `order` decides fully when it is unique per key.
     """
     newest = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(o) for o in order])
-    rank = F.rank() if ties else F.row_number()
-    return df.withColumn("_place", rank.over(newest)).where("_place = 1").drop("_place")
+    return df.withColumn("_place", F.row_number().over(newest)).where("_place = 1").drop("_place")
+
+
+def keep_newest_version(df: DataFrame, keys, version: str) -> DataFrame:
+    """Keep all rows with the greatest `version` of their key.
+
+    The greatest versions are found by a pre-aggregated group-by and joined back, so that the rows of a
+    frequent key can be split over tasks.
+    """
+    newest = df.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.max(version).alias("_version"))
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return df.join(newest, [*same, F.col(version).eqNullSafe(F.col("_version"))], "left_semi")
 
 
 def smoothed_demand(df: DataFrame, rows: int = DEMAND_WINDOW_ROWS, scale: int | None = None) -> DataFrame:

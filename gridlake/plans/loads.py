@@ -11,31 +11,28 @@ from gridlake.sinks.tables import land, reload_days, replace_keys
 from gridlake.sources.landing import scan_landing, scan_or_none
 
 
-def _load(spark, landed, table, schema, shape, cluster, dt, partial) -> bool:
+def _load(spark, landed, table, schema, shape, cluster, dt, partial) -> int:
     if scan_or_none(spark, landed, schema) is None:
-        return False
-    rows = shape(scan_landing(spark, landed, schema, dt))
+        return 0
+    one_chunk = dt is not None and not set(str(dt)) & {"*", "?"}
+    rows = shape(scan_landing(spark, landed, schema, dt), one_chunk)
     if partial:
-        if rows.isEmpty():
-            return False
-        replace_keys(rows, table, ["date", "zone"], cluster, by_month=False)
-    else:
-        reload_days(rows, table, cluster)
-    return True
+        return replace_keys(rows, table, ["date", "zone"], cluster, by_month=False)
+    return reload_days(rows, table, cluster)
 
 
 def load_prices(spark: SparkSession, landed: str, table: str, dt: str | date | None = None,
-                partial: bool = False) -> bool:
+                partial: bool = False) -> int:
     """Load landed zone prices; days in the batch replace the stored ones.
 
-    `partial` marks a batch of some zones: then only those zones' days are replaced.  Returns whether
-    there was anything to load.
+    `partial` marks a batch of some zones: then only those zones' days are replaced.  Returns the rows
+    written, 0 when there is nothing to load.
     """
     return _load(spark, landed, table, schemas.LANDED_PRICES, zone_prices, ["zone"], dt, partial)
 
 
 def load_generation(spark: SparkSession, landed: str, table: str, dt: str | date | None = None,
-                    partial: bool = False) -> bool:
+                    partial: bool = False) -> int:
     """Load landed zone generation, as :func:`load_prices`."""
     return _load(spark, landed, table, schemas.LANDED_GENERATION, zone_generation,
                  ["zone", "fuel_type"], dt, partial)
@@ -67,15 +64,13 @@ def complete_pairs(prices: DataFrame, generation: DataFrame, keys=("zone", "dt")
     return with_keys(prices, generation, keys), with_keys(generation, prices, keys)
 
 
-def land_pair(prices: DataFrame, generation: DataFrame, root: str) -> bool:
-    """Land prices and generation of the chunks that are complete."""
-    both = complete_pairs(prices, generation)
-    written = [land(df.withColumn("country", F.col("zone")), f"{root}/{name}")
-               for df, name in zip(both, ("eu_prices", "eu_generation"))]
-    return all(written)
+def land_pair(prices: DataFrame, generation: DataFrame, root: str) -> dict[str, int]:
+    """Land prices and generation of the chunks that are complete; rows written by dataset."""
+    both = dict(zip(("eu_prices", "eu_generation"), complete_pairs(prices, generation)))
+    return {name: land(df.withColumn("country", F.col("zone")), f"{root}/{name}") for name, df in both.items()}
 
 
-def refresh_day(df: DataFrame, day: date | str, root: str, zones: list[str] | None = None) -> bool:
+def refresh_day(df: DataFrame, day: date | str, root: str, zones: list[str] | None = None) -> int:
     """Land one day of all zones, or of some; zones without rows are left alone."""
     rows = df.where(F.to_date("timestamp") == F.lit(day).cast("date"))
     if zones:
@@ -95,7 +90,7 @@ def missing_days(landed: DataFrame, first: date | str, last: date | str, column:
     return without_keys(days(landed.sparkSession, first, last), held, ["date"])
 
 
-def refresh_range(df: DataFrame, first: date | str, last: date | str, path: str) -> bool:
+def refresh_range(df: DataFrame, first: date | str, last: date | str, path: str) -> int:
     """Land every day of the range that has rows, in one job; empty days are skipped."""
     rows = df.where(F.col("doba").cast("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     return land(rows.withColumn("dt", F.col("doba")), path, ["dt"])

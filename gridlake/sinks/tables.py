@@ -5,7 +5,8 @@ partitions its rows fall into and no others, through Spark's dynamic partition o
 complete before old ones are replaced, so a lost executor only costs a retry.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from gridlake.functions import month_of
 from gridlake.operators.joins import without_keys
@@ -26,31 +27,38 @@ def _arranged(df: DataFrame, partition: list[str], cluster: list[str]) -> DataFr
     return df.hint("rebalance", *grouping).sortWithinPartitions(*partition, *cluster)
 
 
-def _write(df: DataFrame, path: str, partition: list[str], cluster: list[str], mode: str) -> None:
+def _write(df: DataFrame, path: str, partition: list[str], cluster: list[str], mode: str) -> int:
+    """Overwrite the table (`static`) or the partitions that have rows (`dynamic`); rows written.
+
+    The rows are counted on their way, not by a pass of their own.
+    """
+    counted = Observation()
+    df = df.observe(counted, F.count(F.lit(1)).alias("n_rows"))
     (_arranged(df, partition, cluster).write.mode("overwrite")
      .option("partitionOverwriteMode", mode).partitionBy(*partition).parquet(path))
+    try:
+        return counted.get["n_rows"]
+    except Py4JJavaError:  # Spark saw that there were no rows, so none passed the counter
+        return 0
 
 
 def with_month(df: DataFrame, date_column: str) -> DataFrame:
     return df.withColumn("month", month_of(F.col(date_column)))
 
 
-def write_months(df: DataFrame, path: str, date_column: str, cluster: list[str]) -> None:
+def write_months(df: DataFrame, path: str, date_column: str, cluster: list[str]) -> int:
     """Full rebuild of a table partitioned by month and sorted by `cluster` inside its files."""
-    _write(with_month(df, date_column), path, ["month"], cluster, "static")
+    return _write(with_month(df, date_column), path, ["month"], cluster, "static")
 
 
-def reload_days(batch: DataFrame, path: str, cluster: list[str], date_column: str = "date") -> None:
+def reload_days(batch: DataFrame, path: str, cluster: list[str], date_column: str = "date") -> int:
     """Replace exactly the days present in the batch; one pass over it."""
-    _write(batch, path, [date_column], cluster, "dynamic")
+    return _write(batch, path, [date_column], cluster, "dynamic")
 
 
-def land(df: DataFrame, path: str, partition=("country", "dt")) -> bool:
-    """Land a chunk, replacing the directories it fills; False, and nothing written, if it is empty."""
-    if df.isEmpty():
-        return False
-    _write(df, path, list(partition), [], "dynamic")
-    return True
+def land(df: DataFrame, path: str, partition=("country", "dt")) -> int:
+    """Land a chunk, replacing the directories it fills; an empty one leaves everything as it is."""
+    return _write(df, path, list(partition), [], "dynamic")
 
 
 def append(df: DataFrame, path: str, partition: list[str], cluster: list[str]) -> None:
@@ -58,7 +66,7 @@ def append(df: DataFrame, path: str, partition: list[str], cluster: list[str]) -
     _arranged(df, partition, cluster).write.mode("append").partitionBy(*partition).parquet(path)
 
 
-def _in_same_partitions(old: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+def in_same_partitions(old: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
     """Rows of `old` in partitions that occur in `batch`."""
     touched = batch.select(partition).distinct()
     listed = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
@@ -78,31 +86,31 @@ def _merge_into(batch: DataFrame, path: str, keys, date_column, by_month, cluste
     if old is not None:
         # Directory names come back as strings or dates, whatever they look like.
         old = old.withColumn(partition, F.col(partition).cast(batch.schema[partition].dataType))
-        merged = combine(_in_same_partitions(old, batch, partition).select(*batch.columns), batch)
+        merged = combine(in_same_partitions(old, batch, partition).select(*batch.columns), batch)
     else:
         merged = combine(batch.limit(0), batch)
-    _write(merged, path, [partition], cluster, "dynamic")
+    return _write(merged, path, [partition], cluster, "dynamic")
 
 
 def replace_keys(batch: DataFrame, path: str, keys, cluster: list[str], date_column: str = "date",
-                 by_month: bool = True) -> None:
+                 by_month: bool = True) -> int:
     """Remove the stored rows whose `keys` occur in the batch, then add the batch.
 
     With the date alone as key a day is replaced as a whole; with date and zone a batch of some zones
     leaves the others in place.
     """
-    _merge_into(batch, path, list(keys), date_column, by_month, cluster,
-                lambda old, new: without_keys(old, new, list(keys)).unionByName(new))
+    return _merge_into(batch, path, list(keys), date_column, by_month, cluster,
+                       lambda old, new: without_keys(old, new, list(keys)).unionByName(new))
 
 
 def upsert(batch: DataFrame, path: str, keys, order, cluster: list[str], date_column: str,
-           by_month: bool = True) -> None:
+           by_month: bool = True) -> int:
     """Store one row per key, the one with the greatest `order` among old and new.
 
     Repeating a batch or sending batches in another order gives the same table.
     """
-    _merge_into(batch, path, list(keys), date_column, by_month, cluster,
-                lambda old, new: keep_latest(old.unionByName(new), list(keys), list(order)))
+    return _merge_into(batch, path, list(keys), date_column, by_month, cluster,
+                       lambda old, new: keep_latest(old.unionByName(new), list(keys), list(order)))
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, keys) -> DataFrame:

@@ -6,7 +6,7 @@ from gridlake.operators.joins import with_keys
 from gridlake.operators.windows import keep_latest
 from gridlake.plans.marts import intraday_demand
 from gridlake.session import cut_lineage
-from gridlake.sinks.tables import replace_keys, upsert
+from gridlake.sinks.tables import in_same_partitions, replace_keys, upsert, with_month
 
 KEYS = ["demand_date", "interval_id"]
 
@@ -31,9 +31,9 @@ def update_intraday(batch: DataFrame, latest: str, mart: str, tie_break=(), scal
     # Used for both tables; also thins out copies before anything is merged.
     newest = cut_lineage(keep_latest(batch, KEYS, order))
     upsert(newest, latest, KEYS, order, ["interval_id"], "demand_date")
-    stored = batch.sparkSession.read.parquet(latest)
-    months = newest.select(F.trunc("demand_date", "month").alias("month")).distinct()
-    touched = with_keys(stored.join(months, "month", "left_semi"), newest, ["demand_date"])
+    stored = in_same_partitions(
+        batch.sparkSession.read.parquet(latest), with_month(newest, "demand_date"), "month")
+    touched = with_keys(stored, newest, ["demand_date"])
     replace_keys(intraday_demand(touched, scale), mart, ["demand_date"], ["interval_id"], "demand_date")
 
 

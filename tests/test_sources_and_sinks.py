@@ -28,7 +28,7 @@ def test_landing_is_pruned_by_directory(spark, tmp_path, rows):
     path = str(tmp_path / "prices")
     data = [(datetime(2024, 1, d), float(d), z, z, f"2024-01-{d:02d}") for d in (9, 10, 11) for z in ("PL", "ES")]
     df = spark.createDataFrame(data, schemas.LANDED_PRICES)
-    assert tables.land(df, path) and not tables.land(df.limit(0), path)
+    assert (tables.land(df, path), tables.land(df.limit(0), path)) == (6, 0)
     one = landing.scan_landing(spark, path, schemas.LANDED_PRICES, D("2024-01-10"))
     assert rows(one, "zone", "price_eur_mwh") == [("ES", 10.0), ("PL", 10.0)]
     some = landing.scan_landing(spark, path, schemas.LANDED_PRICES, "2024-01-1*", "PL")
@@ -226,7 +226,7 @@ def test_pairs_are_landed_together_or_not_at_all(spark, tmp_path):
                                    "timestamp timestamp, price_eur_mwh double, zone string, dt string")
     generation = spark.createDataFrame([(hour, "Solar", 1.0, "PL", "2024-05-01")],
                                        "timestamp timestamp, fuel_type string, generation_mw double, zone string, dt string")
-    assert loads.land_pair(prices, generation, str(tmp_path))
+    assert loads.land_pair(prices, generation, str(tmp_path)) == {"eu_prices": 1, "eu_generation": 1}
     assert [p.name for p in (tmp_path / "eu_prices").glob("country=*")] == ["country=PL"]
     assert [p.name for p in (tmp_path / "eu_generation").glob("country=*")] == ["country=PL"]
 

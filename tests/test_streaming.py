@@ -134,7 +134,7 @@ def test_closed_buckets_are_emitted_once(spark, tmp_path):
 
 
 def test_messages_round_trip(spark, tmp_path, rows):
-    data = readings(n=5, copies=1)
+    data = readings(n=10, copies=1)
     df = spark.createDataFrame(data, schemas.DEMAND_STREAM)
     messages = feed.to_messages(df)
     key, value = messages.where("key = '2024-02-01-96'").first()

@@ -116,9 +116,10 @@ def test_keep_latest_does_not_depend_on_input_order(spark, rows):
         assert rows(windows.keep_latest(df, ["k"], ["at", "tie"]), "k", "v") == [(1, "c"), (2, "e")]
 
 
-def test_keep_latest_with_ties(spark, rows):
-    df = spark.createDataFrame([(1, "a", 1, 0), (1, "b", 3, 0), (1, "c", 3, 0)], LATEST)
-    assert rows(windows.keep_latest(df, ["k"], ["at"], ties=True), "v") == [("b",), ("c",)]
+def test_newest_version_keeps_all_its_rows(spark, rows):
+    df = spark.createDataFrame(
+        [(1, "a", 1, 0), (1, "b", 3, 0), (1, "c", 3, 0), (None, "d", None, 0), (None, "e", 2, 0), (2, "f", None, 0)], LATEST)
+    assert rows(windows.keep_newest_version(df, ["k"], "at"), "v") == [("b",), ("c",), ("e",), ("f",)]
 
 
 def test_keep_latest_limits_groups_before_the_shuffle(spark):
