@@ -19,12 +19,12 @@ MAX_LISTED_PARTITIONS = 5000
 
 
 def _arranged(df: DataFrame, partition: list[str], cluster: list[str]) -> DataFrame:
-    """Rows grouped by partition and first cluster column in files of a good size, sorted inside.
+    """Rows grouped by partition in files of a good size, sorted by `cluster` inside.
 
-    The rebalance splits a partition that is too large for one task and merges small ones.
+    The rebalance splits a partition that is too large for one task and merges small ones, so a
+    partition gets as few files as its size allows; the sort lets readers skip pages.
     """
-    grouping = [F.col(c) for c in [*partition, *cluster[:1]]]
-    return df.hint("rebalance", *grouping).sortWithinPartitions(*partition, *cluster)
+    return df.hint("rebalance", *[F.col(c) for c in partition]).sortWithinPartitions(*partition, *cluster)
 
 
 def _write(df: DataFrame, path: str, partition: list[str], cluster: list[str], mode: str) -> int:
@@ -109,8 +109,9 @@ def upsert(batch: DataFrame, path: str, keys, order, cluster: list[str], date_co
 
     Repeating a batch or sending batches in another order gives the same table.
     """
-    return _merge_into(batch, path, list(keys), date_column, by_month, cluster,
-                       lambda old, new: keep_latest(old.unionByName(new), list(keys), list(order)))
+    # Copies inside the batch go first, so that only the survivors are stored and merged.
+    return _merge_into(keep_latest(batch, list(keys), list(order)), path, list(keys), date_column, by_month,
+                       cluster, lambda old, new: keep_latest(old.unionByName(new), list(keys), list(order)))
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, keys) -> DataFrame:

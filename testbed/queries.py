@@ -474,7 +474,8 @@ def upsert_demand(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    events = feed.file_feed(spark, sf_dir, schema, pattern="events.parquet")
+    # With the asterisk the path may be a file as well as a directory of files.
+    events = feed.file_feed(spark, f"{sf_dir}/events.parquet*", schema)
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
