@@ -89,7 +89,6 @@ REGIONS = ["Eastern", "Southern"]
 # The demand feed.
 DEMAND_SOURCE = "PSE"
 DEMAND_TOPIC = "pse.demand.v1"
-DEMAND_GROUP = "bq-sink-v1"
 INTERVAL_MINUTES = 15
 INTERVALS_PER_DAY = 96
 STREAM_BATCH_ROWS = 200

@@ -1,5 +1,6 @@
 """Long to wide and back, fuel classes and the energy mix."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -7,7 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gridlake.constants import (
     FOSSIL_FUELS, FUEL_TYPES, GENERATION_DIRECTION, RENEWABLE_FUELS, SOLAR_MARK, WIND_MARK,
 )
-from gridlake.functions import guarded_ratio, mean, normalize_name, null_safe_sum, whole_units
+from gridlake.functions import (
+    guarded_ratio, local_to_utc, mean, nan_to_null, normalize_name, null_safe_sum, whole_units,
+)
 
 HOUR_KEYS = ["date", "timestamp", "zone"]
 
@@ -65,17 +68,36 @@ def unpivot_generation(wide: DataFrame, ids=("timestamp",), fuels: list[str] | N
     return wide.unpivot(list(ids), fuels, "fuel_type", "generation_mw")
 
 
+def _fuel_and_direction(column: str, separator: str) -> tuple[str, str | None]:
+    """Parts of `fuel|direction` or of the printed pair `('fuel', 'direction')`."""
+    pair = re.fullmatch(r"\('(.*)', '(.*)'\)", column)
+    if pair:
+        return pair.group(1), pair.group(2)
+    fuel, found, direction = column.rpartition(separator)
+    return (fuel, direction) if found else (column, None)
+
+
 def keep_generation_direction(wide: DataFrame, ids=("timestamp",), separator: str = "|") -> DataFrame:
-    """Drop consumption columns of a frame whose columns are named `fuel|direction`.
+    """Drop consumption columns of a frame with one column per fuel and direction.
 
     Columns keep only the fuel name.  A frame without any generation-direction column is returned
     as it is.
     """
-    suffix = separator + GENERATION_DIRECTION
-    produced = [c for c in wide.columns if c.endswith(suffix)]
+    parts = {c: _fuel_and_direction(c, separator) for c in wide.columns if c not in ids}
+    produced = {c: fuel for c, (fuel, direction) in parts.items() if direction == GENERATION_DIRECTION}
     if not produced:
         return wide
-    return wide.select(*ids, *[F.col(f"`{c}`").alias(c.removesuffix(suffix)) for c in produced])
+    return wide.select(*ids, *[F.col(f"`{c}`").alias(fuel) for c, fuel in produced.items()])
+
+
+def generation_rows(wide: DataFrame, zone: str, local_zone: str | None = None, ts: str = "timestamp",
+                    tag: str = "zone") -> DataFrame:
+    """A landed wide generation frame as long rows: produced energy only, tagged, in UTC."""
+    long = unpivot_generation(keep_generation_direction(wide, (ts,)), (ts,))
+    instant = local_to_utc(F.col(ts), local_zone) if local_zone else F.col(ts)
+    return long.select(
+        instant.alias("timestamp"), "fuel_type",
+        nan_to_null(F.col("generation_mw").cast("double")).alias("generation_mw"), F.lit(zone).alias(tag))
 
 
 def columns_matching(columns: list[str], fuels: list[str]) -> list[str]:

@@ -78,6 +78,12 @@ def build(raw: Mapping[str, DataFrame], only: list[str] | None = None) -> Tables
     return {name: known[name] for name in wanted(only)}
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make tables available to SQL under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def store(raw: Mapping[str, DataFrame], root: str, only: list[str] | None = None) -> Tables:
     """Build and write the marts to `root/<mart>`; marts above others read the stored ones.
 

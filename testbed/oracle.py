@@ -153,7 +153,7 @@ LAST_10 = "date > (select day from newest) - 10 and date <= (select day from new
 EMPTY_MIX = ", ".join(f"cast(null as double) as {c}" for c in (
     "total_mw", "renewable_mw", "fossil_mw", "renewable_share", "fossil_share", "residual_load_mw"))
 DIRECTION = " union all ".join(
-    f"""select timestamp, '{fuel}' as fuel_type, {exact_sum(f"case when event_type = '{kind}' and k % 2 = 0 then value end")}
+    f"""select timestamp - interval 1 hour as timestamp, 'PL' as zone, '{fuel}' as fuel_type, {exact_sum(f"case when event_type = '{kind}' and k % 2 = 0 then value end")}
     as generation_mw from hours group by timestamp"""
     for fuel, kind in (("Solar", "click"), ("Wind Onshore", "view"), ("Fossil Gas", "purchase")))
 TICKERS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]

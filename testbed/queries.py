@@ -90,16 +90,17 @@ def unpivot_generation(spark, sf_dir):
 
 
 def generation_direction(spark, sf_dir):
-    """Odd `k` stands for consumption; only produced energy is kept."""
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp")
+    """Landed with a column per fuel and direction; odd `k` stands for consumption, which is dropped."""
+    path = scratch(spark, "generation-wide")
+    hour = F.date_trunc("hour", "ts").alias("timestamp")
     cells = [
         total(F.when((F.col("event_type") == kind) & F.col("props").rlike(digit), F.col("value")), 2)
         .alias(f"{fuel}|{side}")
         for fuel, kind in (("Solar", "click"), ("Wind Onshore", "view"), ("Fossil Gas", "purchase"))
         for side, digit in (("Actual Aggregated", "[02468]}"), ("Actual Consumption", "[13579]}"))
     ]
-    landed = table(spark, sf_dir, "events").groupBy(hour).agg(*cells)
-    return reshape.unpivot_generation(reshape.keep_generation_direction(landed))
+    table(spark, sf_dir, "events").groupBy(hour).agg(*cells).write.parquet(path)
+    return plain(reshape.generation_rows(spark.read.parquet(path), "PL", "Europe/Warsaw"))
 
 
 def energy_mix(spark, sf_dir):

@@ -94,6 +94,17 @@ def test_unpivot_undoes_pivot_and_shares_stay_in_range(spark, cells):
             assert share is None or 0 <= share <= 1 + 1e-12
 
 
+def test_landed_pairs_become_utc_rows(spark, rows):
+    wide = spark.createDataFrame(
+        [(NOON, 5.0, 1.0, float("nan"))],
+        "timestamp timestamp, `('Solar', 'Actual Aggregated')` double, `('Solar', 'Actual Consumption')` double,"
+        " `('Fossil Gas', 'Actual Aggregated')` double")
+    got = reshape.generation_rows(wide, "PL", "Europe/Warsaw")
+    at = datetime(2026, 4, 14, 10)
+    assert rows(got, "timestamp", "fuel_type", "generation_mw", "zone") == [
+        (at, "Fossil Gas", None, "PL"), (at, "Solar", 5.0, "PL")]
+
+
 def test_union_series_tags_and_fills(spark, rows):
     a = spark.createDataFrame([(1.0,)], "close double")
     b = spark.createDataFrame([(2.0, 5.0)], "close double, volume double")

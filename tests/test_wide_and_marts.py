@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators import joins, staging
 from gridlake.plans import marts, reports, wide
-from gridlake.plans.build import MODELS, build, store, wanted
+from gridlake.plans.build import MODELS, build, register_views, store, wanted
 from gridlake.sources.zones import zone_dimension
 
 START = datetime(2024, 1, 1)
@@ -179,6 +179,8 @@ def test_build_takes_ancestors_along():
 def test_build_all_and_store_the_same(spark, raw, rows, tmp_path):
     built = build(raw)
     assert set(built) == set(MODELS) and built["stg_pse__demand"].count() == 1
+    register_views(built)
+    assert spark.sql("select count(*) from fct_commodity_drivers").first()[0] == 60
     assert [r.demand_mw for r in built["fct_intraday_demand"].orderBy("interval_id").collect()] == [20.0, 40.0]
     stored = store(raw, str(tmp_path))
     assert sorted(stored) == sorted(n for n in MODELS if n.startswith("fct_"))
