@@ -15,17 +15,17 @@ HOUR = 3_600_000_000
 DAY = 24 * HOUR
 
 
-def _with_overlap(df: DataFrame, place: Column, width: int, back: int) -> DataFrame:
+def _with_overlap(df: DataFrame, place: Column, width: int, back: int, *extra: Column) -> DataFrame:
     """Assign rows to slices of `width` along `place`; the last `back` of a slice go to the next too.
 
-    Adds `_home` (own slice) and `_slice` (slice this copy works for).
+    Adds `_home` (own slice) and `_slice` (slice this copy works for), besides `extra`.
     """
     if width < back:
         raise ValueError(f"a slice of {width} is shorter than the frame of {back}")
     offset = F.pmod(place, F.lit(width))
-    home = ((place - offset) / F.lit(width)).cast("bigint")
+    home = ((place - offset) / width).cast("bigint")
     targets = F.when(offset >= width - back, F.array(home, home + 1)).otherwise(F.array(home))
-    return df.withColumn("_home", home).withColumn("_slice", F.explode(targets))
+    return df.select("*", *extra, home.alias("_home"), F.explode(targets).alias("_slice"))
 
 
 def _drop_overlap(df: DataFrame, *extra: str) -> DataFrame:
@@ -42,9 +42,9 @@ def trailing_mean(df: DataFrame, value: str = "price_eur_mwh", out: str = "price
     """
     span = hours * HOUR
     width = (slice_hours or 4 * hours) * HOUR
-    placed = df.withColumn("_at", epoch_micros(df, ts))
+    at = epoch_micros(df, ts)
     # Rows without a timestamp all sit in a slice of their own.
-    spread = _with_overlap(placed, F.coalesce("_at", F.lit(-(2 ** 60))), width, span)
+    spread = _with_overlap(df, F.coalesce(at, F.lit(-(2 ** 60))), width, span, at.alias("_at"))
     frame = Window.partitionBy(*keys, "_slice").orderBy("_at").rangeBetween(-span, Window.currentRow)
     return _drop_overlap(spread.withColumn(out, mean(F.col(value), scale, frame)), "_at")
 
