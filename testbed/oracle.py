@@ -90,7 +90,7 @@ PARTS = {
     "daily": f"""select date, region, country, zone_code, zone_name, primary_fuel,
         {exact_avg('price_eur_mwh')} as avg_price_eur_mwh, min(price_eur_mwh) as min_price_eur_mwh,
         max(price_eur_mwh) as max_price_eur_mwh, stddev_samp(price_eur_mwh) as price_std,
-        cast(count_if(price_eur_mwh < 0) as bigint) as negative_price_hours, avg(renewable_share) as avg_renewable_share,
+        count(*) filter (where price_eur_mwh < 0) as negative_price_hours, avg(renewable_share) as avg_renewable_share,
         avg(fossil_share) as avg_fossil_share, {exact_sum('total_mw')} as total_generation_mwh,
         {exact_avg('residual_load_mw')} as avg_residual_load_mw from with_region group by all""",
     "summary": f"""select date, region, count(distinct zone_code) as zones_reporting,
@@ -135,7 +135,7 @@ def check_rows(name, rules):
     """Failure counts in the shape of the quality report; `rules` are (check, column, condition)."""
     return " union all ".join(
         f"select '{name}' as table_name, '{check}' as check_name, '{column}' as column_name, "
-        f"cast(count_if({condition}) as bigint) as failures from {name}" for check, column, condition in rules)
+        f"count(*) filter (where {condition}) as failures from {name}" for check, column, condition in rules)
 
 
 def not_null(*columns):
