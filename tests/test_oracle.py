@@ -32,4 +32,4 @@ def test_entry_gives_rows(spark):
     df = entry.entry(spark)
     assert df.columns[:3] == ["date", "timestamp", "zone"] and df.columns[-1] == "price_7d_mean"
     assert not df.isEmpty()
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
