@@ -1,6 +1,8 @@
 """Every operator of this subpackage as a query over its whole table, and its SQL where SQL can express it."""
 
+from gridlake.llm import quality_rules
 from gridlake.llm.packing import op10_packing
+from gridlake.llm.quality_rules import op8_quality_rules
 
-QUERIES = {f.__name__: f for f in (op10_packing,)}
-ORACLE = {}
+QUERIES = {f.__name__: f for f in (op8_quality_rules, op10_packing)}
+ORACLE = {"op8_quality_rules": quality_rules.ORACLE_SQL}
