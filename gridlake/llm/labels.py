@@ -1,5 +1,6 @@
 """Labelled rows for fitting, and the rows held out."""
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -25,3 +26,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int,
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), "label").collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return [(r.text, r.label) for r in rows]
+
+
+def fit_logistic(features: np.ndarray, labels: np.ndarray, steps: int = 50, ridge: float = 1e-4) -> np.ndarray:
+    """Weights of a logistic model with the intercept last; both labels weigh the same.
+
+    Newton steps on standardised features, halved until they lower the loss.
+    """
+    mean, spread = features.mean(axis=0), features.std(axis=0) + 1e-9
+    x = np.column_stack([(features - mean) / spread, np.ones(len(features))])
+    share = labels.mean()
+    weight = np.where(labels == 1, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9)) / len(labels)
+    sign = np.where(labels == 1, 1.0, -1.0)
+
+    def loss(w):
+        return weight @ np.logaddexp(0, -sign * (x @ w)) + 0.5 * ridge * w @ w
+
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weight * (p - labels)) + ridge * w
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(curve, slope)
+        while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
+            step /= 2
+        w -= step
+    plain = w[:-1] / spread
+    return np.append(plain, w[-1] - plain @ mean)

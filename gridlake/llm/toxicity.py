@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridlake.llm.common import read_table, small_batches
-from gridlake.llm.labels import labelled_sample, remainder
+from gridlake.llm.labels import fit_logistic, labelled_sample, remainder
 
 FOLDS, HELD_OUT = 3, 1
 REJECT = 0.7
@@ -153,19 +153,6 @@ class _Net:
         return (self.table @ difference).astype("float32"), float(self.bias[1] - self.bias[0])
 
 
-def fit_logistic(features: np.ndarray, labels: np.ndarray, steps: int = 60, ridge: float = 1e-2) -> np.ndarray:
-    """Weights with the intercept last, by Newton steps; classes weigh the same."""
-    x = np.column_stack([features, np.ones(len(features))])
-    weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
-    w = np.zeros(x.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (p - labels)) + ridge * w
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        w -= np.clip(np.linalg.solve(curve, slope), -5, 5)
-    return w
-
-
 def train(sample: list[tuple[str, int]]) -> Model | None:
     """A model from texts and labels; None if either label is missing."""
     bags = [(words_of(t), y) for t, y in sample]
