@@ -9,9 +9,10 @@ their single-token signatures; if not, both shared shingles are frequent, and bo
 signature.  Sets of many shingles have their frequent ones as singles instead of pairs; sets of a size that may link with
 either kind have both.  Which shingles count as frequent only decides how many candidates there are, never the result.
 
-Signatures are grouped and every class is compared with the smallest one of its group.  Linked classes are joined into
-components; what is left to compare in a group are classes of different components, and of these only pairs whose
-distances to the smallest class of the group differ by at most 0.2, since Jaccard distance obeys the triangle inequality.
+Classes with a common signature form a group.  Every class is first compared with the smallest one of a group, and those
+that resemble each other form cells.  Then the cells that meet in a group are compared as a whole, and so are the classes of a
+cell unless they are linked already: two parts of cells at a time, in a matrix product that counts the shingles in
+common.  So every pair of a group is compared, without a row for any pair.  Links are joined into components.
 
 Edge cases: texts without words, null ones included, have an empty set and link with nothing; a text of fewer than five words
 is one shingle; repeated rows and rows with a null id belong to the class of their set and are returned as often as
@@ -33,9 +34,13 @@ CHUNK, LOCAL, FREQUENT = 1 << 20, 3, 32
 MAX_FREQUENT = 1 << 20
 #: Sets of more shingles have no pairs as signatures.
 PAIR_SIZE = 250
-#: Texts that are compared with the same one in a task.
-MEMBERS = 400
-#: Texts to compare are looked up by a broadcast of at most so many keys, 45 bytes each; of more, by a shuffle.
+#: Texts of a side that a task compares.
+MEMBERS = 256
+#: Classes lie in the same cell from this similarity on, in percent; it decides what is compared together only.
+ALIKE = 30
+#: Shared shingles that are counted in one matrix product.
+COLUMNS = 4096
+#: Texts to compare are looked up by a broadcast of at most so many keys, about 80 bytes each; of more, by a shuffle.
 BROADCAST_ROWS = 500_000
 
 
@@ -134,6 +139,17 @@ def groups(sets: DataFrame) -> DataFrame:
     return stage(few.select(*names).distinct().unionByName(many.select(*names)), "groups")
 
 
+def with_texts(docs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """`rows`, which have a class, with the text of one document of it."""
+    first = sets.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    wanted = stage(rows.join(first, "class").select(
+        *rows.columns, F.col("one.doc_id").alias("one_id"), F.col("one.text_hash").alias("one_hash")), "wanted")
+    at = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return texts.join(at, (F.col("text_hash") == F.col("one_hash")) & F.col("doc_id").eqNullSafe(
+        F.col("one_id"))).select(*rows.columns, "text")
+
+
 def compare(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs of classes (a, b) with their sizes and the size of their intersection.
 
@@ -146,15 +162,7 @@ def compare(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
         F.lit(1).alias("member"))
     heads = parts.select(F.col("a").alias("class"), "a", F.explode(F.sequence(
         F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("member"))
-    first = sets.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
-    wanted = stage(members.unionByName(heads).join(first, "class").select(
-        "class", "a", "part", "member", "one.doc_id", "one.text_hash"), "wanted")
-    small = wanted.count() <= BROADCAST_ROWS  # 45 bytes a row
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    at = F.broadcast(wanted) if small else wanted
-    texts = rows.alias("d").join(at.alias("w"), (F.col("d.text_hash") == F.col("w.text_hash"))
-                                 & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select(
-        "w.a", "w.part", "w.member", "w.class", "d.text")
+    texts = with_texts(docs, sets, members.unionByName(heads))
 
     def intersect(batches):
         key, head = None, None
@@ -176,10 +184,6 @@ def compare(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return near.mapInArrow(intersect, "a long, b long, n_a long, n_b long, common long")
 
 
-def linked(n_a, n_b, common):
-    return 100 * common >= PERCENT * (n_a + n_b - common)
-
-
 def components(links: DataFrame) -> DataFrame:
     """Node and the smallest node reachable, for the nodes of `links` (a, b).
 
@@ -203,40 +207,135 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
+def block_links(sets: list[np.ndarray], sides: list[int], labels: list[int]) -> list[tuple[int, int]]:
+    """Links between a first and a second side, or within a single one, that join different labels; a spanning few."""
+    n = np.array([len(s) for s in sets], np.int64)
+    token, where, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    shared = count > 1
+    column = np.cumsum(shared) - 1
+    kept = shared[where]
+    owner, where = owner[kept], column[where[kept]]
+    order = np.argsort(where, kind="stable")
+    owner, where = owner[order], where[order]
+    side = np.array(sides)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(right):
+        right = left
+    common = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(shared.sum()), COLUMNS):
+        part = slice(*np.searchsorted(where, [first, first + COLUMNS]))
+        table = np.zeros((len(sets), COLUMNS), np.float32)
+        table[owner[part], where[part] - first] = 1
+        common += table[left] @ table[right].T
+    i, j = np.nonzero(100 * common >= PERCENT * (n[left][:, None] + n[right][None, :] - common))
+    root = {x: x for x in labels}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for x, y in zip(left[i].tolist(), right[j].tolist()):
+        a, b = find(labels[x]), find(labels[y])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((x, y))
+    return out
+
+
+def compare_cells(docs: DataFrame, sets: DataFrame, cells: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of the given pairs of cells (first, second), equal ones included.
+
+    `cells` has class, component and cell.  A cell is compared with the classes of all its partners together; both are cut
+    into parts of about `MEMBERS` classes, and a task holds the sets of two parts.
+    """
+    def placed(rows, group):
+        parts = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
+        return parts, rows.join(parts, group).withColumn(
+            "part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).drop("parts")
+
+    def each(column, name):
+        return F.explode(F.sequence(F.lit(0), F.col(column) - 1)).alias(name)
+
+    own_parts, own = placed(cells.select("cell", "class", "component"), "cell")
+    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+    # The larger cell of a pair is the one that its partners are gathered for.
+    first, second = (sizes.select(F.col("cell").alias(c), F.col("size").alias(f"{c}_size")) for c in ("first", "second"))
+    larger = F.col("first_size") >= F.col("second_size")
+    across = pairs.where("first != second").join(first, "first").join(second, "second").select(
+        F.when(larger, F.col("first")).otherwise(F.col("second")).alias("first"),
+        F.when(larger, F.col("second")).otherwise(F.col("first")).alias("cell"))
+    guest_parts, guests = placed(across.join(cells.select("cell", "class", "component"), "cell").drop("cell"), "first")
+    inner = pairs.where("first = second").select(F.col("first").alias("cell")).join(own_parts, "cell").select(
+        F.col("cell").alias("first"), F.lit(0).alias("guest"), each("parts", "i"), "parts").select(
+        "first", "guest", "i", each("parts", "j")).where("i <= j")
+    outer = own_parts.withColumnsRenamed({"cell": "first", "parts": "p"}).join(guest_parts, "first").select(
+        "first", F.lit(1).alias("guest"), each("p", "i"), "parts").select("first", "guest", "i", each("parts", "j"))
+    key = ["first", "guest", "i", "j"]
+    hosts = own.withColumnRenamed("cell", "first")
+
+    def side(jobs, rows, part, number):
+        return jobs.join(rows.withColumnRenamed("part", part), ["first", part]).select(
+            *key, F.lit(number).alias("side"), "class", "component")
+
+    wanted = side(inner.unionByName(outer), hosts, "i", 0).unionByName(
+        side(inner.where("i != j"), hosts, "j", 1)).unionByName(side(outer, guests, "j", 1))
+    texts = with_texts(docs, sets, wanted)
+
+    def search(batches):
+        job, held = None, []
+
+        def flush():
+            found = block_links([h[0] for h in held], [h[1] for h in held], [h[3] for h in held])
+            pairs = [[held[x][2] for x, _ in found], [held[y][2] for _, y in found]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs], names=["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*key, "side", "class", "component")]
+            for *own, side, name, label, tokens in zip(*columns, shingle_sets(batch.column("text").to_pylist())):
+                if own != job:
+                    if held:
+                        yield flush()
+                    job, held = own, []
+                held.append((tokens, side, name, label))
+        if held:
+            yield flush()
+
+    return texts.repartition(*key).sortWithinPartitions(*key, "side", "class").mapInArrow(search, "a long, b long")
+
+
 def class_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between classes that connect all classes that are connected by any links."""
     shared = groups(sets)
     first = shared.groupBy("class").agg(F.min("pivot").alias("pivot"))
     compared = stage(compare(docs, sets, first.select(F.col("pivot").alias("a"), F.col("class").alias("b"))), "first")
-    is_link = linked(F.col("n_a"), F.col("n_b"), F.col("common"))
-    links = compared.where(is_link).select("a", "b")
-    label = stage(components(links), "labels")
-    # Per class: its component, its size, and its distance to the class it was compared with.
-    distance = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-    near = compared.select(F.col("b").alias("class"), F.col("n_b").alias("n"), F.col("a").alias("seen"),
-                           distance.alias("distance"))
-    heads = compared.select(F.col("a").alias("class"), F.col("n_a").alias("n")).distinct().join(
-        near, "class", "left_anti").select(
-        "class", "n", F.lit(None).cast("long").alias("seen"), F.lit(None).cast("double").alias("distance"))
-    known = stage(near.unionByName(heads).join(label, "class", "left").withColumn(
-        "component", F.coalesce("component", "class")), "known")
-    ends = known.select(F.col("class").alias("pivot"), F.col("component").alias("pivot_component"))
-    rows = shared.join(known, "class").join(ends, "pivot")
-    apart = stage(rows.where("component != pivot_component").drop("pivot_component"), "apart")
-    # A group without such a class is one component.  In the others they are compared with every other class.
-    others = shared.join(apart.select("signature").distinct(), "signature", "left_semi")
-    members = others.select("signature", "class").unionByName(
-        others.select("signature", F.col("pivot").alias("class"))).distinct().join(known, "class")
-    x, y = apart.alias("x"), members.alias("y")
-    size = (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
-    limit = 1 - PERCENT / 100 + 1e-9
-    far = (F.col("x.seen") == F.col("y.seen")) & (F.abs(F.col("x.distance") - F.col("y.distance")) > limit)
-    seen = (F.col("x.seen") == F.col("y.class")) | F.coalesce(F.col("y.seen") == F.col("x.class"), F.lit(False))
-    again = x.join(y, F.col("x.signature") == F.col("y.signature")).where(
-        (F.col("x.component") != F.col("y.component")) & size & ~F.coalesce(far, F.lit(False)) & ~seen
-    ).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
-    more = stage(compare(docs, sets, stage(again.distinct(), "again")), "second").where(is_link).select("a", "b")
-    return links.unionByName(more)
+    union = F.col("n_a") + F.col("n_b") - F.col("common")
+    links = compared.where(100 * F.col("common") >= PERCENT * union).select("a", "b")
+    # Classes that resemble the one they were compared with lie in its cell, others in one of their own.
+    alike = components(compared.where(100 * F.col("common") >= ALIKE * union).select("a", "b"))
+    names = compared.select(F.col("b").alias("class"), F.col("n_b").alias("n")).unionByName(
+        compared.select(F.col("a").alias("class"), F.col("n_a").alias("n"))).distinct()
+    cells = stage(names.join(alike.withColumnRenamed("component", "cell"), "class", "left").join(
+        components(links), "class", "left").select(
+        "class", "n", F.coalesce("cell", "class").alias("cell"), F.coalesce("component", "class").alias("component")),
+        "cells")
+    spans = cells.groupBy("cell").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min("component").alias("least"), F.max("component").alias("last"))
+    within = spans.where("least != last").select(F.col("cell").alias("first"), F.col("cell").alias("second"))
+    # Cells that meet in a group; a cell comes once a group, however many of its classes are there.
+    members = shared.select("signature", "class").unionByName(shared.select("signature", F.col("pivot").alias("class")))
+    met = stage(members.join(cells.select("class", "cell"), "class").select("signature", "cell").distinct().join(
+        spans.select("cell", "low", "high"), "cell"), "met")
+    x, y = met.alias("x"), met.alias("y")
+    fits = ((100 * F.col("x.high") >= PERCENT * F.col("y.low"))
+            & (100 * F.col("y.high") >= PERCENT * F.col("x.low")))
+    between = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.cell") < F.col("y.cell"))).where(
+        fits).select(F.col("x.cell").alias("first"), F.col("y.cell").alias("second")).distinct()
+    pairs = stage(within.unionByName(between), "pairs")
+    return links.unionByName(stage(compare_cells(docs, sets, cells, pairs), "more"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
