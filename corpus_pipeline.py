@@ -1,13 +1,61 @@
-"""Cleaning and packing of a document table, stage by stage."""
+"""Cleaning and packing of a document table, stage by stage.
+
+Each stage takes the documents its predecessor kept, and all but the last return the columns of `documents`: toxic
+documents go, one document of each group of near copies stays, documents that hold benchmark items go, personal data is
+replaced by its kind (n_chars counts the new text), and what is left is packed into sequences.
+"""
+
+from pyspark.sql import functions as F
 
 from gridlake.llm.common import read_table, stage
-from gridlake.llm.packing import op10_packing  # noqa: F401
+from gridlake.llm.decontamination import with_hits
+from gridlake.llm.ngram_join import one_of_each
+from gridlake.llm.packing import pack_documents
+from gridlake.llm.pii import fit_pii, redacted_column
+from gridlake.llm.toxicity import REJECT, fit_toxicity, with_toxicity
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that score below the limit; a null text stays."""
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return with_toxicity(docs, model, "_toxicity").where(F.col("_toxicity") < REJECT).select(docs.columns)
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    return one_of_each(docs)
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    found = with_hits(docs, read_table(spark, sf_dir, "benchmark"), "_hits")
+    return found.where(F.size("_hits") == 0).select(docs.columns)
+
+
+def redact_personal_data(spark, docs, sf_dir):
+    clean = docs.withColumn("text", redacted_column(fit_pii(docs), F.col("text")))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def pack(spark, docs, sf_dir):
+    import public_tokenizers
+
+    pieces = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("pii", redact_personal_data),
+    ("packing", pack),
+]
+#: Scores, field and packing cannot be said in SQL.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """The packed pieces of what the stages keep of the documents."""
     docs = read_table(spark, sf_dir, "documents")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name)
