@@ -44,7 +44,7 @@ def load(spark, args) -> None:
         (loads.load_prices, "eu_prices", "entsoe_eu_prices"),
         (loads.load_generation, "eu_generation", "entsoe_eu_generation"),
     ):
-        print(f"{table}: {job(spark, f'{args.lake}/{landed}', raw.path(table), dt, args.partial)} rows")
+        print(f"{table}: {job(spark, f'{args.lake}/{landed}', raw.path(table), dt, args.replace)} rows")
 
 
 def _known(spark, args) -> dict:
@@ -105,7 +105,8 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("load", help=load.__doc__)
     job.add_argument("--date", help="one day, or a pattern such as 2025-*; all days without it")
     job.add_argument("--yesterday", action="store_true")
-    job.add_argument("--partial", action="store_true", help="the batch holds some zones only")
+    job.add_argument("--replace", choices=["hours", "zone_days", "days"], default="hours",
+                     help="what the batch replaces; only its own hours by default")
     job.set_defaults(run=load)
 
     job = jobs.add_parser("marts", help=marts.__doc__)

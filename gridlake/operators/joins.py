@@ -33,14 +33,19 @@ def zone_spread(prices: DataFrame, reference: str, keys=("date", "timestamp")) -
         "price_spread_eur_mwh", F.col("price_eur_mwh") - F.col("reference_price_eur_mwh"))
 
 
+def _by_keys(df: DataFrame, other: DataFrame, keys, how: str) -> DataFrame:
+    named = other.select(*[F.col(k).alias(f"_key_{k}") for k in keys]).distinct()
+    return df.join(named, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], how)
+
+
 def without_keys(df: DataFrame, done: DataFrame, keys) -> DataFrame:
-    """Rows of `df` whose key is not in `done`."""
-    return df.join(done.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of `df` whose key is not in `done`.  NULL is a key like any other."""
+    return _by_keys(df, done, keys, "left_anti")
 
 
 def with_keys(df: DataFrame, wanted: DataFrame, keys) -> DataFrame:
-    """Rows of `df` whose key is in `wanted`."""
-    return df.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+    """Rows of `df` whose key is in `wanted`.  NULL is a key like any other."""
+    return _by_keys(df, wanted, keys, "left_semi")
 
 
 def newer_than_target(df: DataFrame, target: DataFrame, mark: str,

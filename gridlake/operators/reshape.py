@@ -13,6 +13,7 @@ from gridlake.functions import (
 )
 
 HOUR_KEYS = ["date", "timestamp", "zone"]
+UNLISTED = "unlisted"
 
 
 def fuel_columns(fuels=FUEL_TYPES) -> list[str]:
@@ -47,19 +48,22 @@ def pivot_generation(gen: DataFrame, fuels: list[str] | None = None, keys=HOUR_K
                      scale: int | None = None) -> DataFrame:
     """One row per zone-hour with one summed column per fuel.
 
-    `fuels` are normalized column names, the fixed list by default so that every day has the same
-    table shape; rows of other fuels still make their zone-hour appear.  One conditional sum per fuel
-    needs a single shuffle of pre-aggregated rows, where a pivot plans two.  `scale` as in
+    By default the columns are the fixed list, so that every day has the same table shape, and one column
+    `unlisted` with the sum of all other rows.  `fuels` names the columns instead, normalized, as
+    :func:`discover_fuels` gives them; rows of other fuels then make their zone-hour appear only.  One conditional
+    sum per fuel needs a single shuffle of pre-aggregated rows, where a pivot plans two.  `scale` as in
     :mod:`gridlake.functions.measures`.
     """
-    fuels = fuel_columns() if fuels is None else fuels
+    rest = fuels is None
+    fuels = fuel_columns() if rest else fuels
     amount, unit = F.col("generation_mw"), ""
     if scale is not None:
         amount, unit = whole_units(amount, scale), f" / {10 ** scale}D"
     slotted = gen.select(*keys, amount.alias("amount"), fuel_slot("fuel_type", fuels).alias("slot"))
-    return slotted.groupBy(*keys).agg(*[
-        F.expr(f"sum(CASE WHEN slot = {i} THEN amount END){unit} AS `{f}`") for i, f in enumerate(fuels)
-    ])
+    sums = [F.expr(f"sum(CASE WHEN slot = {i} THEN amount END){unit} AS `{f}`") for i, f in enumerate(fuels)]
+    if rest:
+        sums.append(F.expr(f"sum(CASE WHEN coalesce(slot, -1) < 0 THEN amount END){unit} AS `{UNLISTED}`"))
+    return slotted.groupBy(*keys).agg(*sums)
 
 
 def unpivot_generation(wide: DataFrame, ids=("timestamp",), fuels: list[str] | None = None) -> DataFrame:

@@ -98,22 +98,21 @@ def demand_events(records: DataFrame, ingested_at: Column | None = None,
     )
 
 
-def zone_prices(landed: DataFrame, one_chunk: bool = False) -> DataFrame:
+def zone_prices(landed: DataFrame) -> DataFrame:
     """Landed zone prices to table rows: NaN becomes NULL, the date comes from the instant.
 
-    A day can lie in several chunks, a yearly and a daily one; the newest wins.  `one_chunk` says that
-    the input is a single `dt`, which needs no comparison.
+    A day can lie in several chunks, a yearly and a daily one; the newest wins.
     """
-    rows = landed if one_chunk else keep_newest_version(landed, ["zone", "timestamp"], "dt")
+    rows = keep_newest_version(landed, ["zone", "timestamp"], "dt")
     return rows.select(
         date_of(F.col("timestamp")).alias("date"), "timestamp", "zone",
         nan_to_null(F.col("price_eur_mwh")).alias("price_eur_mwh"),
     )
 
 
-def zone_generation(landed: DataFrame, one_chunk: bool = False) -> DataFrame:
+def zone_generation(landed: DataFrame) -> DataFrame:
     """Landed zone generation to table rows, as :func:`zone_prices`."""
-    rows = landed if one_chunk else keep_newest_version(landed, ["zone", "timestamp", "fuel_type"], "dt")
+    rows = keep_newest_version(landed, ["zone", "timestamp", "fuel_type"], "dt")
     return rows.select(
         date_of(F.col("timestamp")).alias("date"), "timestamp", "zone", "fuel_type",
         nan_to_null(F.col("generation_mw")).alias("generation_mw"),

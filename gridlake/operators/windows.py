@@ -6,6 +6,8 @@ is cut into slices, each slice gets a copy of the rows just before it, and the c
 the window.  The result is the same row for row.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridlake.constants import DEMAND_WINDOW_ROWS, PRICE_WINDOW_HOURS, PRICE_WINDOW_ROWS, RETURN_STEPS
@@ -113,14 +115,19 @@ def keep_latest(df: DataFrame, keys, order) -> DataFrame:
 
 
 def keep_newest_version(df: DataFrame, keys, version: str) -> DataFrame:
-    """Keep all rows with the greatest `version` of their key.
+    """Keep all rows with the greatest `version` of their key: one shuffle, as a key has a handful of versions.
 
-    The greatest versions are found by a pre-aggregated group-by and joined back, so that the rows of a
-    frequent key can be split over tasks.
+    Rows that lack a key column may be many of one key; their greatest versions are found by a pre-aggregated
+    group-by and joined back.
     """
-    newest = df.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.max(version).alias("_version"))
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    newest = F.max(version).over(Window.partitionBy(*keys))
+    kept = df.where(whole).withColumn("_newest", newest).where(
+        F.col(version).eqNullSafe(F.col("_newest"))).drop("_newest")
+    loose = df.where(~whole)
+    last = loose.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.max(version).alias("_version"))
     same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    return df.join(newest, [*same, F.col(version).eqNullSafe(F.col("_version"))], "left_semi")
+    return kept.unionByName(loose.join(last, [*same, F.col(version).eqNullSafe(F.col("_version"))], "left_semi"))
 
 
 def smoothed_demand(df: DataFrame, rows: int = DEMAND_WINDOW_ROWS, scale: int | None = None) -> DataFrame:

@@ -11,31 +11,43 @@ from gridlake.sinks.tables import land, reload_days, replace_keys
 from gridlake.sources.landing import scan_landing, scan_or_none
 
 
-def _load(spark, landed, table, schema, shape, cluster, dt, partial) -> int:
+def _load(spark, landed, table, schema, shape, keys, cluster, dt, replace) -> int:
+    if replace not in ("hours", "zone_days", "days"):
+        raise ValueError(f"replace is 'hours', 'zone_days' or 'days', not {replace!r}")
     if scan_or_none(spark, landed, schema) is None:
         return 0
-    one_chunk = dt is not None and not set(str(dt)) & {"*", "?"}
-    rows = shape(scan_landing(spark, landed, schema, dt), one_chunk)
-    if partial:
-        return replace_keys(rows, table, ["date", "zone"], cluster, by_month=False)
-    return reload_days(rows, table, cluster)
+    rows = scan_landing(spark, landed, schema, dt)
+    if dt is not None:
+        # An hour of the chunk that a newer one holds as well is taken from the newer one.
+        span = rows.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+                        F.min("dt").alias("dt")).first()
+        newer = scan_landing(spark, landed, schema).where(
+            (F.col("dt") >= F.lit(span.dt)) & F.col("timestamp").between(F.lit(span.first), F.lit(span.last)))
+        hours = [k for k in keys if k != "date"]
+        rows = rows.where(F.col("timestamp").isNull()).unionByName(with_keys(newer, rows, hours))
+    rows = shape(rows)
+    if replace == "days":
+        return reload_days(rows, table, cluster)
+    return replace_keys(rows, table, keys if replace == "hours" else ["date", "zone"], cluster, by_month=False)
 
 
 def load_prices(spark: SparkSession, landed: str, table: str, dt: str | date | None = None,
-                partial: bool = False) -> int:
-    """Load landed zone prices; days in the batch replace the stored ones.
+                replace: str = "hours") -> int:
+    """Load landed zone prices of one `dt`, of a pattern or of all; of an hour in several chunks the newest counts.
 
-    `partial` marks a batch of some zones: then only those zones' days are replaced.  Returns the rows
-    written, 0 when there is nothing to load.
+    The hours of the batch replace stored ones, everything else stays.  `replace="zone_days"` replaces the
+    days of its zones as a whole, `"days"` the days of all zones.  Returns the rows written to the partitions
+    that were touched, 0 when there is nothing to load.
     """
-    return _load(spark, landed, table, schemas.LANDED_PRICES, zone_prices, ["zone"], dt, partial)
+    return _load(spark, landed, table, schemas.LANDED_PRICES, zone_prices, ["date", "zone", "timestamp"],
+                 ["zone"], dt, replace)
 
 
 def load_generation(spark: SparkSession, landed: str, table: str, dt: str | date | None = None,
-                    partial: bool = False) -> int:
-    """Load landed zone generation, as :func:`load_prices`."""
+                    replace: str = "hours") -> int:
+    """Load landed zone generation by hour and fuel, as :func:`load_prices`."""
     return _load(spark, landed, table, schemas.LANDED_GENERATION, zone_generation,
-                 ["zone", "fuel_type"], dt, partial)
+                 ["date", "zone", "timestamp", "fuel_type"], ["zone", "fuel_type"], dt, replace)
 
 
 def chunks(zones: DataFrame, first_year: int, last_year: int, column: str = "zone_code") -> DataFrame:

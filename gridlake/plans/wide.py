@@ -1,18 +1,18 @@
 """The wide zone-hour table: generation by fuel, mix, price and its seven-day mean."""
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
 from gridlake.constants import PRICE_WINDOW_HOURS
 from gridlake.operators.joins import HOUR_KEYS, attach_prices
-from gridlake.operators.reshape import energy_mix, fuel_columns, pivot_generation
+from gridlake.operators.reshape import energy_mix, pivot_generation
 from gridlake.operators.windows import trailing_mean
 
 
 def hourly_wide(generation: DataFrame, prices: DataFrame, how: str = "left",
                 fuels: list[str] | None = None, scale: int | None = None) -> DataFrame:
-    fuels = fuel_columns() if fuels is None else fuels
+    """`fuels` as in :func:`gridlake.operators.reshape.pivot_generation`."""
     mix = energy_mix(pivot_generation(generation, fuels, scale=scale), fuels)
     return trailing_mean(attach_prices(mix, prices, how), scale=scale)
 
@@ -44,7 +44,7 @@ def hourly_wide_for_day(generation: DataFrame, prices: DataFrame, day: date | st
 
 
 def yesterday(now: datetime | None = None) -> date:
-    return ((now or datetime.now()) - timedelta(days=1)).date()
+    return ((now or datetime.now(timezone.utc)) - timedelta(days=1)).date()
 
 
 __all__ = ["HOUR_KEYS", "between_dates", "hourly_wide", "hourly_wide_for_day", "yesterday"]

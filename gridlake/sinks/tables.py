@@ -2,21 +2,19 @@
 
 Tables are directories of parquet files partitioned by day or month.  A reload or upsert rewrites the
 partitions its rows fall into and no others, through Spark's dynamic partition overwrite: new files are
-complete before old ones are replaced, so a lost executor only costs a retry.
+complete before old ones are replaced, so a lost executor only costs a retry.  A driver that is lost while it moves
+the new directories into place can leave a partition out; running the same load again restores it.
 """
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from gridlake.functions import month_of
-from gridlake.operators.joins import without_keys
+from gridlake.operators.joins import with_keys, without_keys
 from gridlake.operators.windows import keep_latest
 from gridlake.session import cut_lineage
 from gridlake.sources.landing import scan_or_none
 
-# Longest list of touched partitions passed on as literals; beyond it they are matched by a semi join.
-MAX_LISTED_PARTITIONS = 5000
-
 
 def _arranged(df: DataFrame, partition: list[str], cluster: list[str]) -> DataFrame:
     """Rows grouped by partition in files of a good size, sorted by `cluster` inside.
@@ -67,28 +65,29 @@ def append(df: DataFrame, path: str, partition: list[str], cluster: list[str]) -
 
 
 def in_same_partitions(old: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """Rows of `old` in partitions that occur in `batch`."""
-    touched = batch.select(partition).distinct()
-    listed = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return old.join(touched, partition, "left_semi")
-    picked = F.col(partition).isin([v for v in listed if v is not None])
-    return old.where(picked | F.col(partition).isNull() if None in listed else picked)
+    """Rows of `old` in partitions that occur in `batch`; rows without a partition value count as one.
+
+    The span of the batch prunes the directories, the join picks those inside the span.
+    """
+    span = batch.agg(F.min(partition).alias("first"), F.max(partition).alias("last")).first()
+    own = F.col(partition)
+    inside = own.isNull() if span.first is None else own.isNull() | own.between(F.lit(span.first), F.lit(span.last))
+    return with_keys(old.where(inside), batch, [partition])
 
 
-def _merge_into(batch: DataFrame, path: str, keys, date_column, by_month, cluster, combine) -> None:
+def _merge_into(batch: DataFrame, path: str, keys, date_column, by_month, cluster, combine) -> int:
     if date_column not in keys:
         raise ValueError(f"keys {keys} have to include the partitioning date {date_column!r}")
     partition = "month" if by_month else date_column
-    # Used three times below: for the touched partitions, for the keys and for the rows.
-    batch = cut_lineage(with_month(batch, date_column) if by_month else batch)
+    batch = with_month(batch, date_column) if by_month else batch
     old = scan_or_none(batch.sparkSession, path)
-    if old is not None:
-        # Directory names come back as strings or dates, whatever they look like.
-        old = old.withColumn(partition, F.col(partition).cast(batch.schema[partition].dataType))
-        merged = combine(in_same_partitions(old, batch, partition).select(*batch.columns), batch)
-    else:
-        merged = combine(batch.limit(0), batch)
+    if old is None:
+        return _write(batch, path, [partition], cluster, "dynamic")
+    # Used three times below: for the touched partitions, for the keys and for the rows.
+    batch = cut_lineage(batch)
+    # Directory names come back as strings or dates, whatever they look like.
+    old = old.withColumn(partition, F.col(partition).cast(batch.schema[partition].dataType))
+    merged = combine(in_same_partitions(old, batch, partition).select(*batch.columns), batch)
     return _write(merged, path, [partition], cluster, "dynamic")
 
 
@@ -127,8 +126,3 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str
     levels = ", ".join(f"`{c}`" for c in partition)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
               f"PARTITIONED BY ({levels}) LOCATION '{path}'")
-
-
-def max_with_default(df: DataFrame, column: str, default: Column) -> Column:
-    """Highest value of a column as a scalar, `default` for an empty table."""
-    return df.agg(F.coalesce(F.max(column), default)).scalar()

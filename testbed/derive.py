@@ -3,9 +3,9 @@
 The test tables hold no energy data, so every raw table of the library is derived from one of them with
 plain column expressions.  `oracle.py` states the same derivations in SQL.
 
-* generation: every event but sign-ups, summed per hour; the zone comes from the user, the fuel from `k`
-* prices: highest event value of the hour less 40, over every event but errors, so that hours with only a
-  price and hours with only generation both occur; zones 25 to 29 are missing in the dimension
+* generation: every event, summed per hour; the zone comes from the user, the fuel from `k`
+* prices: highest event value of the hour less 40, over every event; users map to zones in another way, so that
+  hours with only a price and hours with only generation both occur; zones 25 to 29 are missing in the dimension
 * demand: the events as quarter-hour readings, with many copies per interval
 * quotes: orders as open, high, low, close and volume per day and priority
 * country prices: line items by ship date and return flag; untaxed ones have no price
@@ -53,7 +53,7 @@ def _zone(number):
 
 
 def generation(spark, sf_dir) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("event_type <> 'signup'")
+    events = table(spark, sf_dir, "events")
     k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
     return events.select(
         F.to_date("ts").alias("date"), _hour("ts").alias("timestamp"), _zone(F.col("user_id")).alias("zone"),
@@ -68,9 +68,10 @@ def bulk_generation(spark, sf_dir) -> DataFrame:
 
 
 def prices(spark, sf_dir) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("event_type <> 'error'")
+    events = table(spark, sf_dir, "events")
     return events.groupBy(
-        F.to_date("ts").alias("date"), _hour("ts").alias("timestamp"), _zone(F.col("user_id")).alias("zone"),
+        F.to_date("ts").alias("date"), _hour("ts").alias("timestamp"),
+        _zone(F.floor(F.col("user_id") / 5)).alias("zone"),
     ).agg((F.max("value") - 40).alias("price_eur_mwh"))
 
 

@@ -3,8 +3,22 @@
 `PARTS` holds the derived tables; every query names the ones it needs and they are put in front of it.
 """
 
-from gridlake.constants import FOSSIL_FUELS, FUEL_TYPES, RENEWABLE_FUELS
-from gridlake.functions import normalize_name
+import re
+
+# Fixed values, spelled out apart from the library's own lists.
+FUEL_TYPES = [
+    "Biomass", "Fossil Brown coal/Lignite", "Fossil Coal-derived gas", "Fossil Gas", "Fossil Hard coal",
+    "Fossil Oil", "Fossil Oil shale", "Fossil Peat", "Geothermal", "Hydro Pumped Storage",
+    "Hydro Run-of-river and poundage", "Hydro Water Reservoir", "Marine", "Nuclear", "Other",
+    "Other renewable", "Solar", "Waste", "Wind Offshore", "Wind Onshore",
+]
+RENEWABLE_FUELS = {"Biomass", "Geothermal", "Hydro Pumped Storage", "Hydro Run-of-river and poundage", "Hydro Water Reservoir", "Marine", "Solar", "Wind Offshore", "Wind Onshore"}
+FOSSIL_FUELS = {"Fossil Brown coal/Lignite", "Fossil Coal-derived gas", "Fossil Gas", "Fossil Hard coal", "Fossil Oil", "Fossil Oil shale", "Fossil Peat"}
+
+
+def normalize_name(name):
+    return re.sub("[^a-z0-9]+", "_", name.lower()).strip("_")
+
 
 COLS = [normalize_name(f) for f in FUEL_TYPES]
 FUEL_LIST = "[" + ", ".join(f"'{f}'" for f in FUEL_TYPES) + "]"
@@ -28,7 +42,9 @@ def of(fuels):
 
 PIVOT = ", ".join(
     f"cast(sum(cast(generation_mw as decimal(18,2))) filter (where fuel_type = '{f}') as double) as {c}"
-    for f, c in zip(FUEL_TYPES, COLS))
+    for f, c in zip(FUEL_TYPES, COLS)) + f""", cast(sum(cast(generation_mw as decimal(18,2)))
+    filter (where fuel_type is null or not list_contains({FUEL_LIST}, fuel_type)) as double) as unlisted"""
+COLS = [*COLS, "unlisted"]
 MIX = f"""*, case when total_mw > 0 then renewable_mw / total_mw end as renewable_share,
     case when total_mw > 0 then fossil_mw / total_mw end as fossil_share,
     total_mw - ({zero_sum(of(['Wind Offshore', 'Wind Onshore']))}) - ({zero_sum(['solar'])}) as residual_load_mw"""
@@ -42,14 +58,14 @@ PARTS = {
     "gen": f"""select cast(ts as date) as date, date_trunc('hour', ts) as timestamp,
         cast(user_id % 30 as varchar) as zone,
         list_extract({FUEL_LIST}, cast(regexp_extract(props, '[0-9]+') as integer) % 20 + 1) as fuel_type,
-        value as generation_mw from events where event_type <> 'signup'""",
+        value as generation_mw from events""",
     "bulk": f"""select cast(l_shipdate as date) as date, l_shipdate as timestamp,
         cast(l_suppkey % 30 as varchar) as zone,
         list_extract({FUEL_LIST}, cast(l_partkey % 20 + 1 as integer)) as fuel_type,
         l_quantity as generation_mw from lineitem""",
     "prices": """select cast(ts as date) as date, date_trunc('hour', ts) as timestamp,
-        cast(user_id % 30 as varchar) as zone, max(value) - 40 as price_eur_mwh
-        from events where event_type <> 'error' group by all""",
+        cast(user_id // 5 % 30 as varchar) as zone, max(value) - 40 as price_eur_mwh
+        from events group by all""",
     "zones": """select cast(n_nationkey as varchar) as zone_code, n_name as country, r_name as region,
         'UTC' as timezone, lower(r_name) as primary_fuel, r_name || ' - ' || n_name as zone_name
         from nation left join region on n_regionkey = r_regionkey""",
@@ -213,7 +229,7 @@ _SOURCES = {
     "merge_demand": ("demand", """, ranked as (select *, row_number() over (
             partition by demand_date, interval_id order by ingested_at desc, event_id desc) as rn from demand),
         new as (select * from ranked where rn = 1 and demand_date >= date '2024-01-20'),
-        old as (select * from ranked where rn = 1 and interval_id <= 60)
+        old as (select * replace (demand_mw / 2 as demand_mw) from ranked where rn = 1)
         select event_ts, demand_date, interval_id, demand_mw, ingested_at from old anti join new
             using (demand_date, interval_id)
         union all select event_ts, demand_date, interval_id, demand_mw, ingested_at from new"""),
@@ -250,8 +266,8 @@ _SOURCES = {
     "zone_date_heatmap": ("daily", """select zone_code, date, round(avg(avg_price_eur_mwh), 6)
         as avg_price_eur_mwh from daily group by zone_code, date"""),
     "zone_date_matrix": ("daily", "select zone_code, " + ", ".join(
-        f"round(avg(avg_price_eur_mwh) filter (where date = date '2024-01-0{i}'), 6) as d{i}"
-        for i in (1, 2, 3)) + " from daily group by zone_code"),
+        f"round(avg(avg_price_eur_mwh) filter (where date = date '2024-01-{i:02}'), 6) as d{i}"
+        for i in range(1, 32)) + " from daily group by zone_code"),
     "seasonal_profile": ("curve", """select region, hour_utc, round(avg(avg_price_eur_mwh), 6)
         as avg_price_eur_mwh from curve where month(date) in (12, 1, 2) group by region, hour_utc"""),
     "price_vs_driver": ("country_daily drivers", """select price_date, avg_price_eur_mwh, close_price
@@ -299,7 +315,22 @@ _SOURCES = {
     "demand_envelopes": ("", f"""select cast(cast(ts as date) as varchar) as doba, cast(ts as varchar) as udtczas,
         value as zap_kse, cast({INTERVAL} as bigint) as znacznik from events"""),
     "quotes_landed": ("quotes", "select * replace (replace(ticker, ' ', '_') as ticker) from quotes"),
-    "month_table": ("wide", "select * from wide where date between date '2024-01-10' and date '2024-01-20'"),
+    "month_table": ("wide", "select * from wide"),
+    "table_day": ("prices", "select * from prices where date = date '2024-01-15'"),
+    "append_rows": ("prices", "select * from prices union all select * from prices"),
+    "rows_written": ("prices", "select count(*) as n_rows from prices"),
+    "load_partial_day": ("prices", """select date, timestamp, zone, case when zone = '3' and timestamp between
+        timestamp '2024-01-15 00:00:00' and timestamp '2024-01-16 00:00:00' then price_eur_mwh + 1
+        else price_eur_mwh end as price_eur_mwh from prices"""),
+    "reload_null_days": ("", """select case when event_type <> 'error' then cast(ts as date) end as date, event_id,
+        -value as value from events"""),
+    "pivot_unlisted_fuel": ("", f"""select date, timestamp, zone, {PIVOT} from (select cast(ts as date) as date,
+        date_trunc('hour', ts) as timestamp, cast(user_id % 30 as varchar) as zone, value as generation_mw,
+        case event_type when 'click' then 'Solar' when 'view' then 'Energy storage' when 'error' then null
+        else 'Fossil Gas' end as fuel_type from events) group by all"""),
+    "default_source": ("", """select event_id, coalesce(case when event_type <> 'error' then event_type end, 'PSE')
+        as source from events"""),
+    "ordered_zones": ("zones", "select zone_code, country, region from zones order by region, zone_code"),
     "land_and_scan": ("prices", """select timestamp, price_eur_mwh, zone, 'EU' as country,
         cast(date as varchar) as dt from prices where date between date '2024-01-10' and date '2024-01-19'"""),
     "load_prices": ("prices", """select date, timestamp, zone, case when date >= date '2024-01-20'

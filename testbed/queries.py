@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridlake import schemas
-from gridlake.functions import message_key, total
+from gridlake.functions import columns, message_key, total
 from gridlake.operators import joins, quality, reshape, staging, windows
 from gridlake.plans import loads, marts, reports, wide
 from gridlake.session import shared_dir
@@ -200,7 +200,7 @@ def incremental_filter(spark, sf_dir):
 
 def merge_demand(spark, sf_dir):
     rows = derive.demand_stream(spark, sf_dir)
-    old = staging.latest_demand(rows.where(F.col("interval_id") <= 60), ["event_id"])
+    old = staging.latest_demand(rows, ["event_id"]).withColumn("demand_mw", F.col("demand_mw") / 2)
     new = staging.latest_demand(rows.where(F.col("demand_date") >= F.lit(CUT).cast("date")), ["event_id"])
     return sinks.merge_rows(old, new, ["demand_date", "interval_id"])
 
@@ -276,9 +276,9 @@ def zone_date_heatmap(spark, sf_dir):
 
 
 def zone_date_matrix(spark, sf_dir):
-    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    days = [f"2024-01-{i:02}" for i in range(1, 32)]
     report = reports.zone_heatmap(_daily(spark, sf_dir), days)
-    return rounded(report, *days).toDF("zone_code", "d1", "d2", "d3")
+    return rounded(report, *days).toDF("zone_code", *[f"d{i}" for i in range(1, 32)])
 
 
 def seasonal_profile(spark, sf_dir):
@@ -359,10 +359,9 @@ def dq_contracts(spark, sf_dir):
 def zones_json(spark, sf_dir):
     path = scratch(spark, "zones-json")
     zones = derive.zones(spark, sf_dir).withColumnRenamed("zone_code", "code")
-    # One document per zone; a file of one document with all zones reads the same way.
-    zones.select(F.array(F.struct(*[F.col(c) for c in zones.columns])).alias("zones")).write.json(path)
-    nested = spark.read.schema(zone_sources.ZONE_CONFIG).json(path)
-    return nested.select(F.inline("zones")).withColumnRenamed("code", "zone_code")
+    # One document with all zones, as the configuration file has it.
+    zones.agg(F.collect_list(F.struct(*[F.col(c) for c in zones.columns])).alias("zones")).write.json(path)
+    return zone_sources.scan_zone_json(spark, path)
 
 
 def zones_csv(spark, sf_dir):
@@ -399,8 +398,71 @@ def quotes_landed(spark, sf_dir):
 def month_table(spark, sf_dir):
     path = scratch(spark, "wide")
     sinks.write_months(hourly_wide(spark, sf_dir), path, "date", ["zone", "timestamp"])
-    stored = spark.read.parquet(path)
-    return wide.between_dates(stored, "2024-01-10", CUT).drop("month")
+    return spark.read.parquet(path).drop("month")
+
+
+def table_day(spark, sf_dir):
+    path = scratch(spark, "prices")
+    sinks.write_months(derive.prices(spark, sf_dir), path, "date", ["zone"])
+    return landing.scan_table(spark, path, DAY).drop("month")
+
+
+def append_rows(spark, sf_dir):
+    path = scratch(spark, "prices")
+    prices = derive.prices(spark, sf_dir)
+    for _ in range(2):
+        sinks.append(prices, path, ["date"], ["zone"])
+    return spark.read.parquet(path).select(*prices.columns)
+
+
+def rows_written(spark, sf_dir):
+    n = sinks.reload_days(derive.prices(spark, sf_dir), scratch(spark, "prices"), ["zone"])
+    return spark.range(1).select(F.lit(n).cast("long").alias("n_rows"))
+
+
+def load_partial_day(spark, sf_dir):
+    """All zones in one chunk, then a day of one zone with the closing hour, loaded by its own dt."""
+    landed, stored = scratch(spark, "landing"), scratch(spark, "prices")
+    prices = derive.prices(spark, sf_dir).select(
+        F.col("timestamp").cast("timestamp"), "price_eur_mwh", "zone", F.col("zone").alias("country"))
+    sinks.land(prices.withColumn("dt", F.lit("2024-01-14")), landed)
+    loads.load_prices(spark, landed, stored)
+    day = prices.where((F.col("zone") == "3") & F.col("timestamp").between(
+        F.lit(DAY).cast("timestamp"), F.lit("2024-01-16").cast("timestamp")))
+    sinks.land(day.withColumns({"dt": F.lit(DAY), "price_eur_mwh": F.col("price_eur_mwh") + 1}), landed)
+    loads.load_prices(spark, landed, stored, DAY)
+    loads.load_prices(spark, landed, stored, "2024-01-14")  # an older chunk does not win
+    return plain(spark.read.parquet(stored))
+
+
+def reload_null_days(spark, sf_dir):
+    path = scratch(spark, "events")
+    rows = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") != "error", F.to_date("ts")).alias("date"), "event_id", "value")
+    sinks.write_months(rows, path, "date", ["event_id"])
+    for _ in range(2):
+        sinks.replace_keys(rows.withColumn("value", -F.col("value")), path, ["date"], ["event_id"])
+    return spark.read.parquet(path).select(*rows.columns)
+
+
+def pivot_unlisted_fuel(spark, sf_dir):
+    kind = F.col("event_type")
+    fuel = (F.when(kind == "click", "Solar").when(kind == "view", "Energy storage")
+            .when(kind == "error", F.lit(None)).otherwise("Fossil Gas"))
+    gen = table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("date"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"),
+        (F.col("user_id") % derive.N_ZONES).cast("string").alias("zone"), fuel.alias("fuel_type"),
+        F.col("value").alias("generation_mw"))
+    return reshape.pivot_generation(gen, scale=2)
+
+
+def default_source(spark, sf_dir):
+    kind = F.when(F.col("event_type") != "error", F.col("event_type"))
+    return table(spark, sf_dir, "events").select("event_id", columns.default_source(kind).alias("source"))
+
+
+def ordered_zones(spark, sf_dir):
+    return derive.zones(spark, sf_dir).orderBy("region", "zone_code").select("zone_code", "country", "region")
 
 
 def land_and_scan(spark, sf_dir):
@@ -549,5 +611,6 @@ QUERIES = {f.__name__: f for f in (
     ticker_corr, intraday_line, dq_not_null, dq_unique, dq_accepted_values, dq_range, dq_failing_rows,
     dq_contracts, zones_json, zones_csv, zones_by_region, only_zones, demand_envelopes, quotes_landed,
     month_table, land_and_scan, load_prices, load_generation, reload_dates, reload_zone_days,
-    upsert_demand, stream_dedup, stream_window_15m, stream_window_1h, stream_upsert, stream_messages,
+    table_day, append_rows, rows_written, load_partial_day, reload_null_days, pivot_unlisted_fuel,
+    default_source, ordered_zones, upsert_demand, stream_dedup, stream_window_15m, stream_window_1h, stream_upsert, stream_messages,
 )}

@@ -15,8 +15,7 @@ def gen(spark, cells, at=NOON):
 
 
 def mixed(spark, cells, **options):
-    fuels = reshape.fuel_columns()
-    wide = reshape.energy_mix(reshape.pivot_generation(gen(spark, cells), **options), fuels)
+    wide = reshape.energy_mix(reshape.pivot_generation(gen(spark, cells), **options))
     return {r.zone: r for r in wide.collect()}
 
 
@@ -44,9 +43,9 @@ def test_empty_and_negative_hours(spark):
     assert (got["C"].renewable_share, got["C"].fossil_share) == (0.0, 0.0)
 
 
-def test_unknown_fuel_keeps_its_hour_but_has_no_fixed_column(spark):
-    got = mixed(spark, [("A", "Fusion", 10.0)])["A"]
-    assert got.total_mw == 0.0 and "fusion" not in got.asDict()
+def test_unknown_fuels_count_in_a_column_of_their_own(spark):
+    got = mixed(spark, [("A", "Fusion", 10.0), ("A", None, 5.0), ("A", "Solar", 5.0)])["A"]
+    assert (got.unlisted, got.total_mw, got.renewable_share) == (15.0, 20.0, 0.25)
 
 
 def test_discovered_fuels_take_any_name(spark):
