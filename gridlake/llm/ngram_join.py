@@ -12,7 +12,8 @@ either kind have both.  Which shingles count as frequent only decides how many c
 Classes with a common signature form a group.  Every class is first compared with the smallest one of a group, and those
 that resemble each other form cells.  Then the cells that meet in a group are compared as a whole, and so are the classes of a
 cell unless they are linked already: two parts of cells at a time, in a matrix product that counts the shingles in
-common.  So every pair of a group is compared, without a row for any pair.  Links are joined into components.
+common.  Single classes whose sketches, counts of shingles by bucket, leave no room for a link are passed over.  So every pair
+of a group is compared or ruled out, and a large group of near copies does not become all its pairs.  Links are joined into components.
 
 Edge cases: texts without words, null ones included, have an empty set and link with nothing; a text of fewer than five words
 is one shingle; repeated rows and rows with a null id belong to the class of their set and are returned as often as
@@ -21,6 +22,7 @@ gives no rows; further columns are ignored.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
@@ -55,6 +57,23 @@ def class_of(tokens: np.ndarray) -> int:
     return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def sketch_of(tokens: np.ndarray) -> bytes:
+    """Shingles counted in about as many buckets as there are shingles, a byte each; nothing if a byte is too small."""
+    bits = max(4, len(tokens).bit_length() - 1)
+    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def common_at_most(a: bytes, b: bytes) -> float:
+    """A bound of the shingles that two sets have in common, from their sketches."""
+    if not a or not b:
+        return np.inf
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    n = min(len(x), len(y))
+    x, y = (v.reshape(n, -1).sum(axis=1, dtype=np.int64) for v in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
 def frequent_tokens(docs: DataFrame) -> np.ndarray:
     """The shingles that stand out in chunks of the table, at most `MAX_FREQUENT`, sorted."""
 
@@ -107,7 +126,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np
 
 
 def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Per document: doc_id, text_hash, n_shingles, class, and its signatures of rare and of frequent shingles."""
+    """Per document: doc_id, text_hash, n_shingles, class, its signatures of rare and of frequent shingles, sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     known = docs.sparkSession.sparkContext.broadcast(frequent)  # at most 8 * MAX_FREQUENT bytes
 
@@ -118,11 +137,13 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             arrays = [pa.array([x[k].view(np.int64) for x in both], pa.list_(pa.int64())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([class_of(s) for s in sets], pa.int64()), *arrays],
-                names=["doc_id", "text_hash", "n_shingles", "class", "rare", "common"])
+                 pa.array([class_of(s) for s in sets], pa.int64()), *arrays,
+                 pa.array([sketch_of(s) for s in sets], pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "class", "rare", "common", "sketch"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        describe, f"doc_id {kind}, text_hash long, n_shingles long, class long, rare array<long>, common array<long>")
+        describe, f"doc_id {kind}, text_hash long, n_shingles long, class long, rare array<long>, "
+                  "common array<long>, sketch binary")
 
 
 def groups(sets: DataFrame) -> DataFrame:
@@ -306,6 +327,23 @@ def compare_cells(docs: DataFrame, sets: DataFrame, cells: DataFrame, pairs: Dat
     return texts.repartition(*key).sortWithinPartitions(*key, "side", "class").mapInArrow(search, "a long, b long")
 
 
+def may_link(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs of single classes (first, second) whose sketches leave room for a link."""
+    wanted = pairs.select(F.explode(F.array("first", "second")).alias("class")).distinct()
+    sketches = stage(sets.select("class", "n_shingles", "sketch").join(wanted, "class", "left_semi").dropDuplicates(
+        ["class"]), "sketches")
+    a, b = (sketches.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+            for c in ("first", "second"))
+
+    @F.pandas_udf("boolean")
+    def room(n_a: pd.Series, n_b: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        most = np.array([common_at_most(p, q) for p, q in zip(x, y)], dtype=np.float64)
+        return pd.Series(100 * most >= PERCENT * (n_a.to_numpy() + n_b.to_numpy() - most))
+
+    return pairs.join(a, "first").join(b, "second").where(
+        room("n_first", "n_second", "sketch_first", "sketch_second")).select("first", "second")
+
+
 def class_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between classes that connect all classes that are connected by any links."""
     shared = groups(sets)
@@ -314,7 +352,7 @@ def class_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     union = F.col("n_a") + F.col("n_b") - F.col("common")
     links = compared.where(100 * F.col("common") >= PERCENT * union).select("a", "b")
     # Classes that resemble the one they were compared with lie in its cell, others in one of their own.
-    alike = components(compared.where(100 * F.col("common") >= ALIKE * union).select("a", "b"))
+    alike = stage(components(compared.where(100 * F.col("common") >= ALIKE * union).select("a", "b")), "alike")
     names = compared.select(F.col("b").alias("class"), F.col("n_b").alias("n")).unionByName(
         compared.select(F.col("a").alias("class"), F.col("n_a").alias("n"))).distinct()
     cells = stage(names.join(alike.withColumnRenamed("component", "cell"), "class", "left").join(
@@ -334,7 +372,13 @@ def class_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
             & (100 * F.col("y.high") >= PERCENT * F.col("x.low")))
     between = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.cell") < F.col("y.cell"))).where(
         fits).select(F.col("x.cell").alias("first"), F.col("y.cell").alias("second")).distinct()
-    pairs = stage(within.unionByName(between), "pairs")
+    # Cells of one class are named after it; the others are those that `alike` has names for.
+    several = alike.select("component").distinct()
+    met_pairs = stage(between.join(several.withColumnsRenamed({"component": "first"}).withColumn("f", F.lit(1)), "first", "left").join(
+        several.withColumnsRenamed({"component": "second"}).withColumn("s", F.lit(1)), "second", "left"), "met_pairs")
+    single = F.col("f").isNull() & F.col("s").isNull()
+    lone = may_link(sets, met_pairs.where(single).select("first", "second"))
+    pairs = stage(within.unionByName(met_pairs.where(~single).select("first", "second")).unionByName(lone), "pairs")
     return links.unionByName(stage(compare_cells(docs, sets, cells, pairs), "more"))
 
 

@@ -65,7 +65,7 @@ def test_sketches_bound_what_sets_have_in_common():
 
 def test_common_lines(spark):
     line = "Common LINE 7 of words"
-    own = [" ".join(f"w{d}x{k}" for k in range(30)) for d in range(6)]
+    own = [" ".join("abcdef"[d] + "xyzuvw"[k % 6] * (k // 6 + 1) for k in range(30)) for d in range(6)]
     rows = [(d, f"{own[d]}\n{line}", "h") for d in range(4)] + [(9, "\n".join([line] * 6), "h"), (10, None, None),
             (9, "\n".join([line] * 6), "h"), (11, own[5], None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
