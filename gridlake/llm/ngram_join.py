@@ -31,7 +31,7 @@ from gridlake.llm.shingles import mix, shingle_sets
 
 PERCENT = 80
 #: A shingle is frequent if chunks of `CHUNK` shingles that have it `LOCAL` times or more add up to `FREQUENT`.
-CHUNK, LOCAL, FREQUENT = 1 << 20, 3, 32
+CHUNK, LOCAL, FREQUENT = 1 << 22, 3, 32
 #: Frequent shingles that every task knows at most, the most frequent ones; 8 bytes each.
 MAX_FREQUENT = 1 << 20
 #: Sets of more shingles have no pairs as signatures.
