@@ -30,6 +30,8 @@ BUCKETS, DIMS, SIZES, STRETCH, SEED = 1 << 18, 8, (3, 4, 5, 6), 3, 11
 WORD = re.compile(r"[^\W\d_]+")
 #: Words remembered with their scores; beyond it the memory starts anew, which changes the time only.
 KNOWN_WORDS = 300_000
+#: Words whose n-grams are taken at once, which bounds memory.
+WORDS_AT_ONCE = 20_000
 #: Longer words are cut into parts, so that one endless word is not one mean.
 LONGEST = 40
 NO_EVIDENCE = -20.0
@@ -69,11 +71,13 @@ class Model:
     calibration: tuple[float, float, float]
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.zeros(0)
-        owner, bucket = subwords(words)
-        counts = np.bincount(owner, minlength=len(words))
-        return np.bincount(owner, self.values[bucket], minlength=len(words)) / np.maximum(counts, 1)
+        out = [np.zeros(0)]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = words[at:at + WORDS_AT_ONCE]
+            owner, bucket = subwords(part)
+            counts = np.bincount(owner, minlength=len(part))
+            out.append(np.bincount(owner, self.values[bucket], minlength=len(part)) / np.maximum(counts, 1))
+        return np.concatenate(out)
 
     def score(self, stretches: np.ndarray) -> float:
         """Calibrated score of a document from the logits of its stretches."""
@@ -104,10 +108,14 @@ class _Net:
 
     def __init__(self, words: list[str]):
         self.rng = np.random.default_rng(SEED)
-        owner, bucket = subwords(words)
-        order = np.argsort(owner, kind="stable")
-        self.bucket = bucket[order]
-        self.start = np.searchsorted(owner[order], np.arange(len(words) + 1))
+        buckets, counts = [], []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = words[at:at + WORDS_AT_ONCE]
+            owner, bucket = subwords(part)
+            buckets.append(bucket[np.argsort(owner, kind="stable")])
+            counts.append(np.bincount(owner, minlength=len(part)))
+        self.bucket = np.concatenate(buckets)
+        self.start = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         self.table = (self.rng.standard_normal((BUCKETS, DIMS)) * 0.05).astype("float32")
         self.layer = (self.rng.standard_normal((DIMS, 2)) * 0.5).astype("float32")
         self.bias = np.zeros(2, "float32")
