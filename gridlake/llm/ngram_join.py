@@ -353,8 +353,9 @@ def class_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     links = compared.where(100 * F.col("common") >= PERCENT * union).select("a", "b")
     # Classes that resemble the one they were compared with lie in its cell, others in one of their own.
     alike = stage(components(compared.where(100 * F.col("common") >= ALIKE * union).select("a", "b")), "alike")
-    names = compared.select(F.col("b").alias("class"), F.col("n_b").alias("n")).unionByName(
-        compared.select(F.col("a").alias("class"), F.col("n_a").alias("n"))).distinct()
+    # Every class of a group has a cell, also a pivot whose partners were all compared with a smaller one.
+    grouped = shared.select("class").unionByName(shared.select(F.col("pivot").alias("class"))).distinct()
+    names = sets.select("class", F.col("n_shingles").alias("n")).join(grouped, "class", "left_semi").distinct()
     cells = stage(names.join(alike.withColumnRenamed("component", "cell"), "class", "left").join(
         components(links), "class", "left").select(
         "class", "n", F.coalesce("cell", "class").alias("cell"), F.coalesce("component", "class").alias("component")),

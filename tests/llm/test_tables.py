@@ -49,6 +49,31 @@ def test_join_against_all_pairs(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept) == sorted({c for _, n, c in expected if n} | {100, 101, 102})
 
 
+def test_join_of_a_pivot_whose_partners_have_a_smaller_one(spark):
+    """x is a near copy of P and shares one signature with Q, Q < P < x: P is compared with nothing at first."""
+    import numpy as np
+
+    none, rng = np.zeros(0, np.uint64), random.Random(1)
+
+    def words(n):
+        return " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+
+    def fits(p, x, q):
+        sets = ngram_join.shingle_sets([p, x, q])
+        a, b, c = (set(ngram_join.signatures(s, none)[0].tolist()) for s in sets)
+        a_class, b_class, c_class = map(ngram_join.class_of, sets)
+        return c_class < a_class < b_class and a & b and b & c and not a & c
+
+    p, x, q = "", "", ""
+    while not fits(p, x, q):
+        p, passage = words(60), words(5)
+        x, q = f"{p} {passage}", f"{passage} {words(12)}"
+    docs = spark.createDataFrame([(1, p), (2, x), (3, q)], "doc_id long, text string")
+    got = ngram_join.jaccard_components(docs).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 3)]
+    assert sorted(r.doc_id for r in ngram_join.one_of_each(docs).select("doc_id").collect()) == [1, 3]
+
+
 def test_join_of_an_empty_table(spark):
     assert ngram_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
