@@ -139,8 +139,11 @@ class Field:
     follow: np.ndarray
 
     def segments(self, parts, before) -> list[tuple[int, int, list[str]]]:
-        n = len(parts)
-        return [(i, j, features(parts, i, j, before)) for j in range(1, n + 1) for i in range(max(0, j - LONGEST), j)]
+        return [s for j in range(1, len(parts) + 1) for s in self.segments_to(parts, j, before)]
+
+    def segments_to(self, parts, j, before) -> list[tuple[int, int, list[str]]]:
+        """The segments whose last token is the one before `j`."""
+        return [(i, j, features(parts, i, j, before)) for i in range(max(0, j - LONGEST), j)]
 
     def scores(self, found) -> np.ndarray:
         """A row per segment; only single tokens may be of no kind, blanks neither begin nor end a segment of one."""
@@ -155,24 +158,25 @@ class Field:
         return out
 
     def best(self, parts, before) -> list[tuple[str, int, int]]:
-        """Kinds with first and last token of the most likely split."""
-        found = self.segments(parts, before)
-        scores, n = self.scores(found), len(parts)
-        top = np.full((n + 1, len(KINDS) + 1), -np.inf)
+        """Kinds with first and last token of the most likely split; features are kept for one last token at a time."""
+        n, k = len(parts), len(KINDS) + 1
+        top = np.full((n + 1, k), -np.inf)
         top[0, -1] = 0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        for (i, j, _), row in zip(found, scores):
-            ways = top[i][:, None] + self.follow
-            source, value = ways.argmax(axis=0), ways.max(axis=0) + row
-            for kind in np.flatnonzero(value > top[j]):
-                top[j, kind] = value[kind]
-                back[j, int(kind)] = (i, int(source[kind]))
+        begin, source = np.zeros((n + 1, k), np.int64), np.zeros((n + 1, k), np.int8)
+        for j in range(1, n + 1):
+            found = self.segments_to(parts, j, before)
+            ways = top[[i for i, _, _ in found]][:, :, None] + self.follow
+            value = ways.max(axis=1) + self.scores(found)
+            pick = value.argmax(axis=0)
+            top[j] = value[pick, range(k)]
+            begin[j] = [found[x][0] for x in pick]
+            source[j] = ways.argmax(axis=1)[pick, range(k)]
         out, at, kind = [], n, int(top[n].argmax())
         while at:
-            start, source = back[at, kind]
+            start = int(begin[at, kind])
             if kind < len(KINDS):
                 out.append((KINDS[kind], start, at))
-            at, kind = start, source
+            at, kind = start, int(source[at, kind])
         return out[::-1]
 
     def learn(self, parts, before, gold: dict[tuple[int, int], int], rate: float) -> None:
@@ -302,12 +306,10 @@ def all_spans(field: Field | None, text: str | None) -> list[tuple[str, int, int
                 continue  # nothing left to find
             before = _BEFORE.search(text, max(0, start - WORD_CHARS), start)
             parts = tokens(stretch)
-            for at in range(0, len(parts), 4 * LONGEST):  # a stretch without end is split like the rest of the text
-                piece = parts[at:at + 4 * LONGEST]
-                for kind, i, j in field.best(piece, before[1] if before and not at else ""):
-                    s, e = start + piece[i][0], start + piece[j - 1][1]
-                    if all(e <= x or s >= y for x, y in taken):
-                        spans.append((kind, s, e, False))
+            for kind, i, j in field.best(parts, before[1] if before else ""):
+                s, e = start + parts[i][0], start + parts[j - 1][1]
+                if all(e <= x or s >= y for x, y in taken):
+                    spans.append((kind, s, e, False))
     return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 

@@ -116,6 +116,15 @@ def test_field_adds_and_keeps(spark):
     assert got == {1: "to <EMAIL>", 2: None}
 
 
+def test_field_reads_long_lines_whole():
+    field = pii.Field({"shape (03) 03-04": np.array([0., 0, 0, 9, 0])}, np.zeros((5, 5)))
+    phone = "(255) 555-8013"
+    for n in range(10, 40):  # the phone lies on either side of multiples of 64 tokens, and across them
+        text = "7.25 " * n + phone + " 7.25" * 5
+        at = text.index(phone)
+        assert ("phone", at, at + len(phone), False) in pii.all_spans(field, text)
+
+
 def corpus(rng, n, bad):
     rows = []
     for i in range(n):
