@@ -1,8 +1,8 @@
 """Personal data: patterns, and a semi-Markov conditional random field for what they miss.
 
 Patterns find emails, addresses, cards and phones; their spans always stand.  The field works on stretches of text with
-digits, at-signs or bracketed `at` and `dot`.  A stretch is cut into tokens, every run of at most `LONGEST` tokens is a
-candidate segment, whole-segment features (make-up, counts, check sums, outer words) score it for each kind, and dynamic
+digits, at-signs or bracketed `at` and `dot`.  A stretch is cut into tokens, every run of at most `LONGEST` tokens (with
+an at, `LONGEST_AT`) is a candidate segment, whole-segment features (make-up, counts, check sums, outer words) score it for each kind, and dynamic
 programming picks the best split into segments and kinds at once.  Weights maximise the likelihood of the
 patterns' own spans in a bounded sample, which is enlarged by the same data in forms that the patterns do not know.  Only
 segments apart from all pattern spans are added.
@@ -25,7 +25,8 @@ from gridlake.llm.common import read_table, small_batches
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with pattern spans that the field is fitted on at most, and as many without.
 SAMPLE = 250
-LONGEST, WORD_CHARS = 16, 40
+#: Tokens of a segment at most, and of one with an at, which can only be an email.
+LONGEST, LONGEST_AT, WORD_CHARS = 16, 32, 40
 ROUNDS, RATE, SEED = 4, 0.3, 5
 
 # --- patterns ----------------------------------------------------------------------------------------
@@ -78,7 +79,7 @@ def pattern_spans(text: str) -> list[tuple[str, int, int]]:
 _NEAR = r"\S*[0-9@]\S*"
 _STRETCH = re.compile(rf"(?:\S+ ?[\[(] ?at ?[\])] ?\S+(?: ?[\[(] ?dot ?[\])] ?\S+)*)|(?:\(?{_NEAR}(?: {_NEAR})*)")
 _QUICK = re.compile(r"[0-9@]|[\[(] ?at ?[\])]")
-_TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\W\d_]+|\s+|.", re.S)
+_TOKEN = re.compile(r" ?[\[(] ?(?:at|dot) ?[\])] ?|[A-Za-z]+|[0-9]+|[^\W\d_]+|\s+|.", re.S)
 _BEFORE = re.compile(r"([^\W\d_]+)[\s:=]*$")
 
 
@@ -97,11 +98,14 @@ def tokens(text: str) -> list[tuple[int, int, str]]:
 
 
 def make_up(token: str) -> str:
-    """Digits by their number, letters by script, blanks as one, other characters as they are."""
+    """Digits by their number, letters by script, `at` and `dot` with or without brackets, blanks as one, others as they are."""
+    word = token.strip(" []()")
+    if word in ("at", "dot"):
+        return word
     if token.isdigit():
         return f"0{min(len(token), 9)}"
     if token.isalpha():
-        return "at" if token == "at" else "dot" if token == "dot" else "a" if token.isascii() else "l"
+        return "a" if token.isascii() else "l"
     return " " if token.isspace() else token[0]
 
 
@@ -143,7 +147,10 @@ class Field:
 
     def segments_to(self, parts, j, before) -> list[tuple[int, int, list[str]]]:
         """The segments whose last token is the one before `j`."""
-        return [(i, j, features(parts, i, j, before)) for i in range(max(0, j - LONGEST), j)]
+        low, short = max(0, j - LONGEST_AT), max(0, j - LONGEST)
+        at = max((i for i in range(low, j) if make_up(parts[i][2]) in ("@", "at")), default=-1)
+        begins = [*range(low, min(short, at + 1)), *range(short, j)]
+        return [(i, j, features(parts, i, j, before)) for i in begins]
 
     def scores(self, found) -> np.ndarray:
         """A row per segment; only single tokens may be of no kind, blanks neither begin nor end a segment of one."""
@@ -155,6 +162,8 @@ class Field:
                     row += w
             if j - i > 1:
                 row[-1] = -np.inf
+            if j - i > LONGEST:
+                row[KINDS.index("email") + 1:] = -np.inf
         return out
 
     def best(self, parts, before) -> list[tuple[str, int, int]]:
@@ -264,15 +273,18 @@ def examples(texts: list[str]) -> list[tuple[list, str, dict[tuple[int, int], in
             for form, marked in variants:
                 parts = tokens(form)
                 starts, ends = {p[0]: n for n, p in enumerate(parts)}, {p[1]: n + 1 for n, p in enumerate(parts)}
-                gold, covered = {}, set()
+                gold, covered, whole = {}, set(), True
                 for s, e, kind in marked:
-                    if s in starts and e in ends and 0 < ends[e] - starts[s] <= LONGEST:
+                    longest = LONGEST_AT if kind == "email" else LONGEST
+                    if not (s in starts and e in ends and 0 < ends[e] - starts[s] <= longest):
+                        whole = False  # no segment can be this span, and its tokens are not of no kind
+                    else:
                         inside = set(range(starts[s], ends[e]))
                         if not inside & covered:
                             gold[starts[s], ends[e]] = KINDS.index(kind)
                             covered |= inside
                 gold |= {(n, n + 1): len(KINDS) for n in range(len(parts)) if n not in covered}
-                if len(parts) <= 60:
+                if whole and len(parts) <= 60:
                     out.append((parts, before[1] if before else "", gold))
     return out
 

@@ -125,6 +125,17 @@ def test_field_reads_long_lines_whole():
         assert ("phone", at, at + len(phone), False) in pii.all_spans(field, text)
 
 
+def test_field_learns_spelled_out_emails():
+    texts = [f"mail hein.{i}@mail{i % 9}.example.com in the {i} of 10.30" for i in range(40)]
+    for i, own in enumerate(pii.other_forms("email", "a.b-c.d.19@mail-5.sub.example.co.uk") + ["x@" + "y." * 12 + "z"]):
+        assert len(pii.tokens(own)) <= pii.LONGEST_AT
+    for parts, _, gold in pii.examples(["write to hein.19@mail5.example.com"])[:5]:
+        assert [k for k in gold.values() if k < len(pii.KINDS)] == [pii.KINDS.index("email")]
+    field = pii.train(texts)
+    email = "hein.19 [at] mail5 [dot] example [dot] com"
+    assert ("email", 5, 5 + len(email), False) in pii.all_spans(field, f"mail {email} now")
+
+
 def corpus(rng, n, bad):
     rows = []
     for i in range(n):
