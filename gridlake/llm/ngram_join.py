@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
-from gridlake.llm.common import LOWER, UPPER, read_table, small_batches, stage
+from gridlake.llm.common import BLANKS, LOWER, UPPER, read_table, small_batches, stage
 from gridlake.llm.shingles import mix, shingle_sets
 
 PERCENT = 80
@@ -400,19 +400,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, one of each component: that of the smallest id; texts without words all stay."""
-    found = stage(jaccard_components(docs), "components")
-    empty = F.col("n_shingles") == 0
-    kept = found.where(~empty).groupBy("component").agg(
+    worded = F.rlike(F.coalesce("text", F.lit("")), F.lit(f"[^{BLANKS}]"))
+    found = stage(jaccard_components(docs.where(worded)), "components")
+    kept = found.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one")
-    ).select("one.doc_id", "one.text_hash").unionByName(found.where(empty).select("doc_id", "text_hash"))
+    ).select("one.doc_id", "one.text_hash")
     counted = stage(found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies")).join(
         kept.distinct().withColumn("kept", F.lit(True)).alias("k"),
         F.col("k.doc_id").eqNullSafe(found["doc_id"]) & (F.col("k.text_hash") == found["text_hash"])).select(
         found["doc_id"].alias("kept_id"), found["text_hash"].alias("kept_hash"), "copies"), "kept")
     at = (F.col("kept_hash") == F.xxhash64("text")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    empty = docs.where(~worded)
     single = docs.join(counted.where("copies = 1"), at, "left_semi")
     repeated = docs.join(counted.where("copies > 1"), at, "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(repeated)
+    return single.unionByName(repeated).unionByName(empty)
 
 
 def op2_ngram_join(spark, sf_dir):

@@ -74,6 +74,12 @@ def test_join_of_a_pivot_whose_partners_have_a_smaller_one(spark):
     assert sorted(r.doc_id for r in ngram_join.one_of_each(docs).select("doc_id").collect()) == [1, 3]
 
 
+def test_all_rows_without_words_stay(spark):
+    rows = [(None, None)] * 3 + [(None, "")] * 2 + [(1, " \t")] * 2 + [(2, "one text of six words here")] * 2
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(rows[:-1], key=str)
+
+
 def test_join_of_an_empty_table(spark):
     assert ngram_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
