@@ -2,7 +2,7 @@
 
 Paths are cut into segments.  A place in a path, told by host and by the shapes of the segments up to it, is
 variable when it holds many different values or hardly repeats any; its segments become wildcards.  What is left is a
-template per host.  Pages that a rule decides serve as labels: templates that differ in one literal are merged
+template per host.  Pages that a rule decides serve as labels: templates that differ in their last literal only are merged
 unless their share of blocked labels differs significantly from that of their siblings, and a template is rejected by its
 share of blocked labels, smoothed by that of its host, which is smoothed by that of all pages.
 
