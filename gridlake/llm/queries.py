@@ -2,6 +2,7 @@
 
 from gridlake.llm import chat, ngram_join, quality_rules, url_filters
 from gridlake.llm.chat import op5_chat_formatting
+from gridlake.llm.conversation_repair import op11_conversation_repair
 from gridlake.llm.decontamination import op7_decontamination
 from gridlake.llm.ngram_join import op2_ngram_join
 from gridlake.llm.packing import op10_packing
@@ -13,6 +14,7 @@ from gridlake.llm.toxicity import op3_toxicity
 from gridlake.llm.url_filters import op4_url_filters
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_toxicity, op4_url_filters, op5_chat_formatting,
-                              op6_pii, op7_decontamination, op8_quality_rules, op9_quality_classifier, op10_packing)}
+                              op6_pii, op7_decontamination, op8_quality_rules, op9_quality_classifier, op10_packing,
+                              op11_conversation_repair)}
 ORACLE = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_url_filters": url_filters.ORACLE_SQL, "op5_chat_formatting": chat.ORACLE_SQL,
           "op8_quality_rules": quality_rules.ORACLE_SQL}
