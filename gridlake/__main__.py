@@ -9,30 +9,42 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from gridlake.functions import normalize_name
 from gridlake.plans import loads
 from gridlake.plans.build import check, store
-from gridlake.plans.wide import hourly_wide, hourly_wide_for_day, yesterday
+from gridlake.plans.wide import hourly_wide, hourly_wide_for_day, write_wide_months, yesterday
 from gridlake.schemas import BACKFILL_PROGRESS, KEYED_MESSAGE
 from gridlake.session import get_spark
 from gridlake.sinks.tables import replace_keys, write_months
 from gridlake.sources.landing import scan_or_none
 from gridlake.sources.registry import RAW_SCHEMAS, RawTables
 from gridlake.sources.zones import only_zones, zone_dimension
-from gridlake.streaming.feed import decode_json, file_feed, kafka_feed, to_rows
-from gridlake.streaming.sinks import append_raw, keep_intraday
+from gridlake.streaming.feed import file_feed, kafka_feed, to_rows
+from gridlake.streaming.intake import check_json, keep_messages
+from gridlake.streaming.ledger import Ledger
+from gridlake.streaming.sinks import keep_intraday
 
 WIDE = "entsoe_eu_hourly_wide"
 
 
 def transform(spark, args) -> None:
-    """Build the wide zone-hour table, all of it or one day."""
+    """Build the wide zone-hour table, all of it or one day.
+
+    With `--fuels data` every month gets a column for each fuel it has; a day then rebuilds its month.
+    """
     raw = RawTables(spark, args.tables)
     sources = raw["entsoe_eu_generation"], raw["entsoe_eu_prices"]
-    if args.mode == "full":
-        rows = write_months(hourly_wide(*sources), raw.path(WIDE), "date", ["zone", "timestamp"])
+    day = args.date or yesterday()
+    if args.fuels == ["data"]:
+        months = None if args.mode == "full" else [day.replace(day=1)]
+        rows = sum(write_wide_months(*sources, raw.path(WIDE), months).values())
     else:
-        day = args.date or yesterday()
-        rows = replace_keys(hourly_wide_for_day(*sources, day), raw.path(WIDE), ["date"], ["zone", "timestamp"])
+        fuels = None if args.fuels == ["fixed"] else [normalize_name(f) for f in args.fuels]
+        if args.mode == "full":
+            rows = write_months(hourly_wide(*sources, fuels=fuels), raw.path(WIDE), "date", ["zone", "timestamp"])
+        else:
+            rows = replace_keys(hourly_wide_for_day(*sources, day, fuels=fuels), raw.path(WIDE), ["date"],
+                                ["zone", "timestamp"])
     print(f"{WIDE}: {rows} rows in the rewritten months")
 
 
@@ -75,17 +87,22 @@ def pending(spark, args) -> None:
 
 
 def stream(spark, args) -> None:
-    """Follow the demand topic (or a directory of JSON messages) into the raw table and the mart."""
+    """Follow the demand topic (or a directory of JSON messages) into the raw table and the mart.
+
+    Messages that cannot become rows go to `pse_demand_rejects`.  Without `--every` the stream ends at the newest message.
+    """
     if args.servers:
         messages = kafka_feed(spark, args.servers).withColumn("value", F.col("value").cast("string"))
     else:
         messages = file_feed(spark, f"{args.lake}/demand_stream", KEYED_MESSAGE, "json")
-    rows = to_rows(decode_json(messages))
     progress = f"{args.tables}/_progress"
+    trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
+    good = check_json(messages).where(F.col("reason").isNull())
     queries = [
-        append_raw(rows, f"{args.tables}/pse_demand_stream", f"{progress}/raw"),
-        keep_intraday(rows, f"{args.tables}/demand_latest", f"{args.tables}/marts/fct_intraday_demand",
-                      f"{progress}/intraday"),
+        keep_messages(messages, f"{args.tables}/pse_demand_stream", f"{args.tables}/pse_demand_rejects",
+                      f"{progress}/raw", Ledger(f"{progress}/raw_batches"), **trigger),
+        keep_intraday(to_rows(good), f"{args.tables}/demand_latest", f"{args.tables}/marts/fct_intraday_demand",
+                      f"{progress}/intraday", ledger=Ledger(f"{progress}/intraday_batches"), **trigger),
     ]
     for query in queries:
         query.awaitTermination()
@@ -100,6 +117,8 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("transform", help=transform.__doc__)
     job.add_argument("--mode", choices=["full", "incremental"], default="incremental")
     job.add_argument("--date", type=date.fromisoformat)
+    job.add_argument("--fuels", nargs="+", default=["fixed"],
+                     help="`fixed` for the known list, `data` for what each month has, or the names of the columns")
     job.set_defaults(run=transform)
 
     job = jobs.add_parser("load", help=load.__doc__)
@@ -122,6 +141,7 @@ def parser() -> argparse.ArgumentParser:
 
     job = jobs.add_parser("stream", help=stream.__doc__)
     job.add_argument("--servers", help="Kafka servers; without them a directory is read")
+    job.add_argument("--every", help="stay up and take a batch this often, such as '1 minute'")
     job.set_defaults(run=stream)
     return top
 

@@ -14,16 +14,24 @@ from gridlake.functions import (
 
 HOUR_KEYS = ["date", "timestamp", "zone"]
 UNLISTED = "unlisted"
+#: Fuel columns of a table at most, if they are taken from the data.
+MOST_FUELS = 200
 
 
 def fuel_columns(fuels=FUEL_TYPES) -> list[str]:
     return [normalize_name(f) for f in fuels]
 
 
-def discover_fuels(gen: DataFrame) -> list[str]:
-    """Fuels present in the data, sorted.  Runs one job; the list of fuel names is short by nature."""
-    rows = gen.select(normalize_name(F.col("fuel_type")).alias("fuel")).where("fuel is not null")
-    return sorted(r.fuel for r in rows.distinct().collect())
+def discover_fuels(gen: DataFrame, most: int = MOST_FUELS) -> list[str]:
+    """Fuels present in the data, sorted.  Runs one job that brings `most` names and one more at most.
+
+    More than `most` fuels are an error: they would become as many columns.
+    """
+    spelled = gen.select("fuel_type").where("fuel_type is not null").distinct()
+    rows = spelled.select(normalize_name(F.col("fuel_type")).alias("fuel")).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} fuels in fuel_type; name the wanted ones instead")
+    return sorted(r.fuel for r in rows)
 
 
 def _quoted(name: str) -> str:

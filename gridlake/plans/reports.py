@@ -8,12 +8,21 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridlake.constants import REGIONS, SOLAR_MONTHS, TICKERS
+from gridlake.operators import staging
+from gridlake.operators.ranges import newest_day, trailing_days, trailing_range
+from gridlake.plans import marts
+from gridlake.plans.wide import hourly_wide_for_days
 
 
-def trailing_days(df: DataFrame, days: int, column: str = "date", as_of: Column | None = None) -> DataFrame:
-    """The last `days` days."""
-    end = df.agg(F.max(column)).scalar() if as_of is None else as_of
-    return df.where((F.col(column) > F.date_sub(end, days)) & (F.col(column) <= end))
+def recent_daily(generation: DataFrame, prices: DataFrame, zones: DataFrame, days: int, as_of: Column | None = None,
+                 scale: int | None = None) -> DataFrame:
+    """Day-and-zone mart of the last days only, from the raw tables; of those stored by month the months in question.
+
+    The reports below take it, or its regional summary, in place of the mart over all history.
+    """
+    end = F.greatest(newest_day(generation), newest_day(prices)) if as_of is None else as_of
+    hours = hourly_wide_for_days(generation, prices, *trailing_range(days, end), how="full", scale=scale)
+    return marts.daily_by_region(staging.hourly_wide(hours), zones, scale)
 
 
 def price_scorecard(summary: DataFrame, days: int = 30, as_of: Column | None = None) -> DataFrame:

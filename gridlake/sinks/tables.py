@@ -49,6 +49,16 @@ def write_months(df: DataFrame, path: str, date_column: str, cluster: list[str])
     return _write(with_month(df, date_column), path, ["month"], cluster, "static")
 
 
+def replace_months(df: DataFrame, path: str, date_column: str, cluster: list[str]) -> int:
+    """Replace the months that `df` has rows of, columns included; other months keep theirs."""
+    return _write(with_month(df, date_column), path, ["month"], cluster, "dynamic")
+
+
+def replace_partitions(df: DataFrame, path: str, partition: list[str], cluster=()) -> int:
+    """Replace the partitions that `df` has rows of, whatever their level; others stay."""
+    return _write(df, path, list(partition), list(cluster), "dynamic")
+
+
 def reload_days(batch: DataFrame, path: str, cluster: list[str], date_column: str = "date") -> int:
     """Replace exactly the days present in the batch; one pass over it."""
     return _write(batch, path, [date_column], cluster, "dynamic")

@@ -46,9 +46,18 @@ def scan_or_none(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 def scan_table(spark: SparkSession, path: str, day: str | date | None = None,
                schema: T.StructType | None = None) -> DataFrame:
-    """A table, or one day of it."""
+    """A table, or one day of it; of a table stored by month the day's month is read."""
     df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
-    return df if day is None else df.where(F.col("date") == F.lit(day).cast("date"))
+    if day is None:
+        return df
+    wanted = F.lit(day).cast("date")
+    one = df.where(F.col("date") == wanted)
+    return one.where(F.col("month") == F.trunc(wanted, "month")) if "month" in df.columns else one
+
+
+def scan_merged(spark: SparkSession, path: str) -> DataFrame:
+    """A table whose partitions have different columns: the columns of all of them, NULL where a partition has none."""
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def scan_demand_envelopes(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from gridlake import schemas
+from gridlake.sources.landing import scan_merged
 
 # The raw tables and what they hold.
 RAW_SCHEMAS: dict[str, T.StructType | None] = {
@@ -32,8 +33,8 @@ class RawTables:
 
     def __getitem__(self, name: str) -> DataFrame:
         schema = RAW_SCHEMAS.get(name)
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(name))
+        path = self.path(name)
+        return scan_merged(self.spark, path) if schema is None else self.spark.read.schema(schema).parquet(path)
 
     def register_views(self, names=None) -> None:
         """Make the tables available to SQL under their names."""

@@ -81,8 +81,8 @@ def to_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def to_messages(rows: DataFrame) -> DataFrame:
-    """Rows of the demand stream table to keyed JSON messages."""
+def to_messages(rows: DataFrame, *keep: str) -> DataFrame:
+    """Rows of the demand stream table to keyed JSON messages, beside the columns `keep`."""
     payload = F.struct(
         timestamp_to_millis(F.col("event_ts")).alias("event_ts"),
         "demand_date",
@@ -94,6 +94,7 @@ def to_messages(rows: DataFrame) -> DataFrame:
     return rows.select(
         message_key(F.col("demand_date"), F.col("interval_id")).alias("key"),
         F.to_json(payload).alias("value"),
+        *keep,
     )
 
 

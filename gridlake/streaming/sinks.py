@@ -7,6 +7,7 @@ from gridlake.operators.windows import keep_latest
 from gridlake.plans.marts import intraday_demand
 from gridlake.session import cut_lineage
 from gridlake.sinks.tables import in_same_partitions, replace_keys, upsert, with_month
+from gridlake.streaming.ledger import Ledger, once
 
 KEYS = ["demand_date", "interval_id"]
 
@@ -37,13 +38,21 @@ def update_intraday(batch: DataFrame, latest: str, mart: str, tie_break=(), scal
     replace_keys(intraday_demand(touched, scale), mart, ["demand_date"], ["interval_id"], "demand_date")
 
 
+def intraday_handler(latest: str, mart: str, tie_break=(), scale: int | None = None, ledger: Ledger | None = None):
+    """:func:`update_intraday` as a function of batch and batch number; the ledger's batches are left out."""
+    def handler(batch: DataFrame, _batch_id: int, _before) -> None:
+        update_intraday(batch, latest, mart, tie_break, scale)
+
+    return once(handler, ledger)
+
+
 def keep_intraday(rows: DataFrame, latest: str, mart: str, checkpoint: str, tie_break=(),
-                  scale: int | None = None, **trigger):
-    """Run :func:`update_intraday` on every micro-batch; progress is recorded after it succeeded."""
-    def on_batch(batch: DataFrame, _batch_id: int) -> None:
-        if not batch.isEmpty():
-            update_intraday(batch, latest, mart, tie_break, scale)
+                  scale: int | None = None, ledger: Ledger | None = None, **trigger):
+    """Run :func:`update_intraday` on every micro-batch; progress is recorded after it succeeded.
 
+    With a ledger a batch that Spark repeats after a stop is not merged again.
+    """
+    on_batch = intraday_handler(latest, mart, tie_break, scale, ledger)
     return (
         rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridlake.constants import DEMAND_SOURCE, FUEL_TYPES
 from gridlake.functions import interval_id, total
+from gridlake.streaming.feed import to_messages
 
 N_ZONES = 30
 TICKERS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -122,3 +123,46 @@ def country_prices(spark, sf_dir) -> DataFrame:
         F.col("l_shipdate").alias("timestamp"),
         F.when(F.col("l_tax") != 0, F.col("l_extendedprice")).alias("price_eur_mwh"),
         F.col("l_returnflag").alias("country"), F.col("l_shipdate").alias("ingested_at"))
+
+
+N_ARRIVALS = 7
+
+
+def arrivals(spark, sf_dir) -> DataFrame:
+    """Demand rows with `arrival`: six days of a month arrive together, some rows one or two times later."""
+    rows = readings(table(spark, sf_dir, "events"))
+    block = F.least(F.floor((F.dayofmonth("event_ts") - 1) / 6), F.lit(4))
+    late = F.when(F.col("event_id") % 10 == 0, 2).when(F.col("event_id") % 10 == 5, 1).otherwise(0)
+    stamps = {c: F.col(c).cast("timestamp") for c in ("event_ts", "ingested_at")}
+    return rows.withColumns({"arrival": (block + late).cast("int"), **stamps})
+
+
+def messages(spark, sf_dir) -> DataFrame:
+    """Demand messages; six of twenty cannot become rows."""
+    rows = demand_stream(spark, sf_dir).withColumns({c: F.col(c).cast("timestamp") for c in ("event_ts", "ingested_at")})
+    number = F.col("event_id").cast("string")
+    broken = {
+        1: F.concat(F.lit('{"event_ts": 1, "demand_date": "'), number),
+        2: F.concat(F.lit('{"event_ts": 5, "interval_id": '), number, F.lit("}")),
+        3: F.concat(F.lit('{"event_ts": 5, "demand_date": "2024-01-01", "interval_id": 97, "demand_mw": '), number, F.lit(".5}")),
+        4: F.lit(""),
+        5: F.concat(F.lit("no json "), number),
+        6: F.concat(F.lit('{"event_ts": "x", "demand_date": "2024-01-01", "interval_id": 1, "demand_mw": '), number, F.lit("}")),
+    }
+    value = F.col("value")
+    for kind, text in broken.items():
+        value = F.when(F.col("event_id") % 20 == kind, text).otherwise(value)
+    return to_messages(rows, "event_id").select("key", value.alias("value"))
+
+
+def two_months(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Generation and prices of January and, for odd users, February, which alone has sun, wind on land and storage."""
+    def moved(df, odd):
+        later = {"date": F.date_add("date", 31), "timestamp": F.col("timestamp") + F.expr("INTERVAL 31 DAYS")}
+        return df.withColumns({c: F.when(odd, e).otherwise(F.col(c)) for c, e in later.items()})
+
+    odd = F.col("zone").cast("int") % 2 == 1
+    fuel = F.col("fuel_type")
+    gen = moved(generation(spark, sf_dir), odd).where(odd | ~fuel.isin("Solar", "Wind Onshore"))
+    gen = gen.withColumn("fuel_type", F.when(odd & (fuel == "Waste"), "Energy storage").otherwise(fuel))
+    return gen, moved(prices(spark, sf_dir), odd)

@@ -122,6 +122,26 @@ PARTS = {
     "newest": "select cast(max(ts) as date) as day from events",
 }
 
+# Two months of generation and prices, the second with other fuels; columns as the fuels' names sort.
+_LATER = """select * replace (case when odd then cast(date + 31 as date) else date end as date,
+    case when odd then timestamp + interval 31 days else timestamp end as timestamp)
+    from (select *, cast(zone as integer) % 2 = 1 as odd from {})"""
+_NAMES = sorted([(normalize_name(f), f) for f in [*FUEL_TYPES, "Energy storage"]])
+_DYNAMIC = {name: f"cast(sum(cast(generation_mw as decimal(18,2))) filter (where fuel = '{f}') as double) as {name}"
+            for name, f in _NAMES}
+_ALL = list(_DYNAMIC)
+DYNAMIC = f"""select * exclude (odd), {exact_avg('price_eur_mwh', WEEK)} as price_7d_mean from (
+    select *, case when total_mw > 0 then renewable_mw / total_mw end as renewable_share,
+        case when total_mw > 0 then fossil_mw / total_mw end as fossil_share,
+        total_mw - ({zero_sum(['wind_offshore', 'wind_onshore'])}) - ({zero_sum(['solar'])}) as residual_load_mw
+    from (select *, {zero_sum(_ALL)} as total_mw,
+            {zero_sum([n for n in _ALL if n in of(RENEWABLE_FUELS)])} as renewable_mw,
+            {zero_sum([n for n in _ALL if n in of(FOSSIL_FUELS)])} as fossil_mw
+        from (select date, timestamp, zone, {", ".join(_DYNAMIC.values())} from (
+            select *, case when odd and fuel_type = 'Waste' then 'Energy storage' else fuel_type end as fuel
+            from ({_LATER.format("gen")}) where odd or fuel_type not in ('Solar', 'Wind Onshore')) group by all)))
+    left join ({_LATER.format("prices")}) using (date, timestamp, zone)"""
+
 # What a derived table needs.
 NEEDS = {
     "latest": ["demand"], "intraday": ["latest"], "drivers": ["quotes"], "country_daily": ["raw_country"],
@@ -351,9 +371,38 @@ _SOURCES = {
         {exact_avg('value')} as avg_mw from events group by all"""),
     "stream_window_1h": ("", SLIDING.format(avg=exact_avg("value"))),
     "stream_upsert": ("intraday", "select * from intraday"),
+    "stream_resume": ("intraday", "select * from intraday"),
+    "stream_late": ("", """with rows as (select event_id, ts, least((day(ts) - 1) // 6, 4)
+        + case event_id % 10 when 0 then 2 when 5 then 1 else 0 end as arrival from events),
+        newest as (select a.arrival, max(b.newest) as newest
+            from (select distinct arrival from rows) a
+            left join (select arrival, max(ts) as newest from rows group by all) b on b.arrival < a.arrival - 1 group by all),
+        judged as (select event_id, coalesce(ts <= date_trunc('millisecond', newest) - interval 2 days, false) as late
+            from rows join newest using (arrival))
+        select event_id, late, (select count(*) from judged where late) as n_dropped from judged"""),
+    "stream_rejects": ("demand", """select
+        case when event_id % 20 not between 1 and 6 then date_trunc('millisecond', event_ts) end as event_ts,
+        case when event_id % 20 not between 1 and 6 then demand_date end as demand_date,
+        case when event_id % 20 not between 1 and 6 then interval_id end as interval_id,
+        case when event_id % 20 not between 1 and 6 then demand_mw end as demand_mw,
+        case when event_id % 20 not between 1 and 6 then 'PSE' end as source,
+        case when event_id % 20 not between 1 and 6 then date_trunc('millisecond', ingested_at) end as ingested_at,
+        case event_id % 20 when 1 then '{"event_ts": 1, "demand_date": "' || event_id
+            when 2 then '{"event_ts": 5, "interval_id": ' || event_id || '}'
+            when 3 then '{"event_ts": 5, "demand_date": "2024-01-01", "interval_id": 97, "demand_mw": ' || event_id || '.5}'
+            when 4 then '' when 5 then 'no json ' || event_id
+            when 6 then '{"event_ts": "x", "demand_date": "2024-01-01", "interval_id": 1, "demand_mw": ' || event_id || '}'
+            end as raw,
+        case event_id % 20 when 1 then 'malformed' when 2 then 'missing demand_date,demand_mw' when 3 then 'interval'
+            when 4 then 'empty' when 5 then 'malformed' when 6 then 'malformed' end as reason
+        from demand"""),
+    "hourly_wide_dynamic": ("gen prices", DYNAMIC),
     "stream_messages": ("demand", """select date_trunc('millisecond', event_ts) as event_ts, demand_date,
         interval_id, demand_mw, 'PSE' as source, date_trunc('millisecond', ingested_at) as ingested_at
         from demand"""),
 }
 
+# Reports from stored months give what they give from all history.
+_SOURCES |= {f"{name}_stored": _SOURCES[f"{name}_10d"] for name in ("scorecard", "neg_hours", "country")}
+
 ORACLE = {name: with_parts(*parts) for name, parts in _SOURCES.items()}

@@ -11,7 +11,8 @@ from gridlake.plans import loads, marts, reports, wide
 from gridlake.session import shared_dir
 from gridlake.sinks import tables as sinks
 from gridlake.sources import landing, zones as zone_sources
-from gridlake.streaming import feed, sinks as stream_sinks
+from gridlake.streaming import feed, intake, sinks as stream_sinks
+from gridlake.streaming.ledger import Ledger
 from testbed import derive
 from testbed.derive import table
 
@@ -271,6 +272,33 @@ def country_10d(spark, sf_dir):
     return rounded(report, "avg_price_eur_mwh")
 
 
+def _stored(spark, sf_dir):
+    """Generation and prices as tables stored by month."""
+    tables = []
+    for name, df in (("generation", derive.generation(spark, sf_dir)), ("prices", derive.prices(spark, sf_dir))):
+        path = scratch(spark, name)
+        sinks.write_months(df, path, "date", ["zone"])
+        tables.append(landing.scan_table(spark, path))
+    return tables
+
+
+def _recent(spark, sf_dir):
+    return reports.recent_daily(*_stored(spark, sf_dir), derive.zones(spark, sf_dir), 10, scale=2)
+
+
+def scorecard_stored(spark, sf_dir):
+    summary = marts.regional_summary(_recent(spark, sf_dir), scale=2)
+    return rounded(reports.price_scorecard(summary, 10), "avg_price_eur_mwh")
+
+
+def neg_hours_stored(spark, sf_dir):
+    return reports.negative_hours(marts.regional_summary(_recent(spark, sf_dir), scale=2), 10)
+
+
+def country_stored(spark, sf_dir):
+    return rounded(reports.country_prices(_recent(spark, sf_dir), 10), "avg_price_eur_mwh")
+
+
 def zone_date_heatmap(spark, sf_dir):
     return rounded(reports.zone_heatmap(_daily(spark, sf_dir)), "avg_price_eur_mwh")
 
@@ -401,6 +429,14 @@ def month_table(spark, sf_dir):
     return spark.read.parquet(path).drop("month")
 
 
+def hourly_wide_dynamic(spark, sf_dir):
+    """Two months, the second with fuels that the first does not have, built one by one and read as one table."""
+    gen, prices = derive.two_months(spark, sf_dir)
+    path = scratch(spark, "wide")
+    wide.write_wide_months(gen, prices, path, scale=2)
+    return wide.scan_wide(spark, path).drop("month")
+
+
 def table_day(spark, sf_dir):
     path = scratch(spark, "prices")
     sinks.write_months(derive.prices(spark, sf_dir), path, "date", ["zone"])
@@ -600,6 +636,55 @@ def stream_messages(spark, sf_dir):
     return plain(raw.select(*schemas.DEMAND_STREAM.fieldNames()))
 
 
+def stream_rejects(spark, sf_dir):
+    """Messages of which some are broken, a file a batch: rows of the good ones, and the others with the reason."""
+    path = scratch(spark, "messages")
+    derive.messages(spark, sf_dir).repartition(3).write.json(f"{path}/topic")
+    feed_ = feed.file_feed(spark, f"{path}/topic", schemas.KEYED_MESSAGE, "json", files_per_batch=1)
+    for _ in range(2):  # the second run finds nothing new
+        _finish(intake.keep_messages(
+            feed_, f"{path}/rows", f"{path}/rejects", f"{path}/progress", Ledger(f"{path}/batches")))
+    rows = spark.read.schema(schemas.DEMAND_STREAM).parquet(f"{path}/rows").select(*schemas.DEMAND_STREAM.fieldNames())
+    rejects = spark.read.schema("raw string, reason string").parquet(f"{path}/rejects").select("raw", "reason")
+    return plain(rows.unionByName(rejects, allowMissingColumns=True))
+
+
+def _arrivals(spark, sf_dir, path, numbers):
+    """Files of arriving rows, one per number and in that order."""
+    arriving = derive.arrivals(spark, sf_dir)
+    for n in numbers:
+        arriving.where(F.col("arrival") == n).drop("arrival").coalesce(1).write.mode("append").parquet(path)
+    return feed.file_feed(spark, path, arriving.drop("arrival").schema, files_per_batch=1)
+
+
+def stream_resume(spark, sf_dir):
+    """Stopped after three batches, one of them sent again with other values, then gone on with."""
+    path = scratch(spark, "intraday")
+    places = f"{path}/latest", f"{path}/mart"
+    ledger = Ledger(f"{path}/batches")
+    for numbers in (range(3), range(3, derive.N_ARRIVALS)):
+        rows = _arrivals(spark, sf_dir, f"{path}/in", numbers)
+        _finish(stream_sinks.keep_intraday(rows, *places, f"{path}/progress", ["event_id"], scale=2, ledger=ledger))
+        again = derive.arrivals(spark, sf_dir).where(F.col("arrival") == 1).drop("arrival").withColumns({
+            "demand_mw": -F.col("demand_mw"), "event_id": F.col("event_id") + 10 ** 12})
+        stream_sinks.intraday_handler(*places, ["event_id"], 2, ledger)(again, 1)
+    mart = spark.read.parquet(places[1])
+    return plain(mart.select("demand_date", "interval_id", "event_ts", "demand_mw", "demand_mw_1h_avg"))
+
+
+def stream_late(spark, sf_dir):
+    """Every row, whether it came behind the watermark, and how many a stateful operator dropped over the same files."""
+    path = scratch(spark, "late")
+    rows = _arrivals(spark, sf_dir, f"{path}/in", range(derive.N_ARRIVALS))
+    _finish(intake.keep_with_late(rows, f"{path}/rows", f"{path}/progress", Ledger(f"{path}/batches"), "2 days"))
+    first = feed.first_per_interval(rows, ["event_id"], "2 days", spread=1)
+    query = (first.writeStream.format("noop").option("checkpointLocation", f"{path}/first")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    kept = spark.read.parquet(f"{path}/rows").select("event_id", F.col("late").cast("boolean").alias("late"))
+    return kept.withColumn("n_dropped", F.lit(intake.dropped_by_watermark(query)).cast("bigint"))
+
+
 QUERIES = {f.__name__: f for f in (
     hourly_wide, hourly_wide_full, hourly_wide_day, pivot_generation, pivot_bulk, unpivot_generation,
     generation_direction, energy_mix, stg_prices, stg_demand, stg_quotes, demand_events,
@@ -607,10 +692,11 @@ QUERIES = {f.__name__: f for f in (
     demand_1h_avg, hourly_with_region, daily_by_region, regional_summary, duck_curve, daily_prices,
     commodity_returns, zone_spread, incremental_filter, merge_demand, pending_chunks, landed_chunks,
     complete_pairs, missing_days, batch_dates, union_tickers, scorecard_10d, region_spread, neg_hours_10d,
-    country_10d, zone_date_heatmap, zone_date_matrix, seasonal_profile, price_vs_driver, driver_series,
+    country_10d, scorecard_stored, neg_hours_stored, country_stored, zone_date_heatmap, zone_date_matrix, seasonal_profile, price_vs_driver, driver_series,
     ticker_corr, intraday_line, dq_not_null, dq_unique, dq_accepted_values, dq_range, dq_failing_rows,
     dq_contracts, zones_json, zones_csv, zones_by_region, only_zones, demand_envelopes, quotes_landed,
     month_table, land_and_scan, load_prices, load_generation, reload_dates, reload_zone_days,
     table_day, append_rows, rows_written, load_partial_day, reload_null_days, pivot_unlisted_fuel,
     default_source, ordered_zones, upsert_demand, stream_dedup, stream_window_15m, stream_window_1h, stream_upsert, stream_messages,
+    stream_rejects, stream_resume, stream_late, hourly_wide_dynamic,
 )}
