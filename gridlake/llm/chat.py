@@ -7,6 +7,8 @@ texts get a backslash after their first character, one more if there are some al
 Edge cases: a null role or text is an empty one; turns are ordered by turn number (null first), place in the record, role
 and text, so repeated rows and ties have one order; a null conversation is one of its own; records of unknown layout or
 malformed JSON give no turns and layout null; an empty table gives no rows; further columns are ignored.
+A record of more than `LONG_RECORD` characters is known by its outer keys alone and read by the schema of its mapping, so
+that texts of any length that a string can have come through whole.
 Conversations are rendered in stretches of `STRETCH` turn numbers, so that a long one is not sorted in one row.
 """
 
@@ -17,6 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gridlake.llm.common import read_table
 
 STRETCH = 64
+#: Records of more characters are not parsed into variants, whose strings have a limit of 20 million.
+LONG_RECORD = 10_000_000
 #: Marks of the template, and the control strings that texts must not contain: a first character and a rest.
 START, END = "<|im_start|>", "<|im_end|>\n"
 CONTROL = "(\\||/s>|INST\\]|/INST\\])"
@@ -66,17 +70,39 @@ def record_shape(value: Column) -> Column:
         F.schema_of_variant(value), ": (STRING|BIGINT|DOUBLE|BOOLEAN|VOID|DECIMAL\\([0-9,]+\\))", "")
 
 
-def turns_of(value: Column, mapping: Mapping) -> Column:
-    kind = f"struct<`{mapping.role}`:string,`{mapping.text}`:string>"
+def _kind(mapping: Mapping) -> str:
+    return f"struct<`{mapping.role}`:string,`{mapping.text}`:string>"
+
+
+def items_of(value: Column, mapping: Mapping) -> Column:
+    """The mapping's turns, or role and text of its fields, in a variant."""
+    kind = _kind(mapping)
+    if mapping.items == "$":
+        return F.array(F.variant_get(value, "$", kind))
+    if mapping.items:
+        return F.coalesce(F.variant_get(value, mapping.items, f"array<{kind}>"), F.array().cast(f"array<{kind}>"))
+    return F.array(*[F.struct(F.lit(role).alias("role"), F.variant_get(value, path, "string").alias("text"))
+                     for path, role in mapping.fields])
+
+
+def items_of_long(record: Column, mapping: Mapping) -> Column:
+    """The same of a JSON text whose strings are too long for a variant; paths have one step."""
+    kind, options = _kind(mapping), {"maxStringLen": str(2 ** 31 - 1)}
     if mapping.items == "$":
-        items = F.array(F.variant_get(value, "$", kind))
-    elif mapping.items:
-        items = F.coalesce(F.variant_get(value, mapping.items, f"array<{kind}>"), F.array().cast(f"array<{kind}>"))
-    else:
-        items = F.filter(F.array(*[
-            F.struct(F.lit(role).alias("role"), F.variant_get(value, path, "string").alias("text"))
-            for path, role in mapping.fields]), lambda x: F.coalesce(x["text"], F.lit("")) != "")
-        return items
+        return F.array(F.from_json(record, kind, options))
+    if mapping.items:
+        name = mapping.items.removeprefix("$.")
+        found = F.from_json(record, f"struct<`{name}`:array<{kind}>>", options)[name]
+        return F.coalesce(found, F.array().cast(f"array<{kind}>"))
+    names = [path.removeprefix("$.") for path, _ in mapping.fields]
+    found = F.from_json(record, f"struct<{','.join(f'`{n}`:string' for n in names)}>", options)
+    return F.array(*[F.struct(F.lit(role).alias("role"), found[name].alias("text"))
+                     for name, (_, role) in zip(names, mapping.fields)])
+
+
+def turns_of(items: Column, mapping: Mapping) -> Column:
+    if not mapping.items:
+        return F.filter(items, lambda x: F.coalesce(x["text"], F.lit("")) != "")
     role = lambda x: F.coalesce(x[mapping.role], F.lit(""))
     if mapping.names:
         names = F.create_map(*[F.lit(n) for pair in mapping.names for n in pair])
@@ -86,19 +112,30 @@ def turns_of(value: Column, mapping: Mapping) -> Column:
         role(x).alias("role"), F.coalesce(x[mapping.text], F.lit("")).alias("text")))
 
 
+def outer_keys(mapping: Mapping) -> list[str]:
+    if mapping.items == "$":
+        return sorted([mapping.role, mapping.text])
+    return [mapping.items.removeprefix("$.")] if mapping.items else sorted(p.removeprefix("$.") for p, _ in mapping.fields)
+
+
 def canonical_turns(records: DataFrame, record: str, key: str, order: str | None = None,
                     mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Turns of JSON records: key, turn (the record's `order`), place in the record, role, text, layout."""
-    value = F.try_parse_json(F.col(record))
-    fingerprint = F.xxhash64(record_shape(F.col("value")))
+    is_long = F.length(record) > LONG_RECORD
     parsed = records.select(
-        F.col(key), (F.col(order) if order else F.lit(0)).cast("long").alias("turn"), value.alias("value")
-    ).withColumn("fingerprint", fingerprint)
+        F.col(key), (F.col(order) if order else F.lit(0)).cast("long").alias("turn"),
+        F.try_parse_json(F.when(~is_long, F.col(record))).alias("value"),
+        F.when(is_long, F.col(record)).alias("long_record"),
+    ).withColumns({
+        "fingerprint": F.xxhash64(record_shape(F.col("value"))),
+        "keys": F.sort_array(F.json_object_keys("long_record"))})
     turns, layout = F.lit(None).cast("array<struct<role:string,text:string>>"), F.lit(None).cast("string")
     for mapping in mappings:
         chosen = F.col("fingerprint") == F.xxhash64(F.lit(mapping.shape))
-        turns = F.when(chosen, turns_of(F.col("value"), mapping)).otherwise(turns)
-        layout = F.when(chosen, mapping.name).otherwise(layout)
+        long_one = F.col("keys") == F.array(*[F.lit(k) for k in outer_keys(mapping)])
+        turns = F.when(chosen, turns_of(items_of(F.col("value"), mapping), mapping)).when(
+            long_one, turns_of(items_of_long(F.col("long_record"), mapping), mapping)).otherwise(turns)
+        layout = F.when(chosen | long_one, mapping.name).otherwise(layout)
     return parsed.select(
         key, "turn", layout.alias("layout"), F.posexplode_outer(turns).alias("place", "t")
     ).select(key, "turn", "place", "t.role", "t.text", "layout")

@@ -1,6 +1,8 @@
 import hashlib
 import json
 
+from pyspark.sql import functions as F
+
 from gridlake.llm.chat import MAPPINGS, canonical_turns, format_conversations
 
 SYSTEM, USER, ASSISTANT = "system", "user", "assistant"
@@ -58,3 +60,30 @@ def test_query_has_the_fixed_conversation(spark):
     text = "</s>[INST] ok [/INST]"
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert (row.n_turns, row.loss_chars, row.loss_sha256) == (2, 21, hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_texts_beyond_the_limit_of_variants_come_through_whole(spark):
+    """Strings of 25 million characters, in turns, messages and fields; a broken record of that size gives no turns."""
+    long = "ab\\n" * 6_000_000 + "x" * 1_500_000
+    rows = [(1, 0, f'{{"role": "user", "text": "{long}"}}'), (1, 1, '{"role": "assistant", "text": "short"}'),
+            (2, 0, f'{{"messages": [{{"role": "user", "content": "q"}}, {{"role": "assistant", "content": "{long}"}}]}}'),
+            (3, 0, f'{{"prompt": "{long}", "completion": "c"}}'), (4, 0, f'{{"role": "user", "text": "{long}'),
+            (5, 0, f'{{"other": "{long}"}}')]
+    wanted = long.replace("\\n", "\n")
+    schema = "conv_id long, turn long, record string"
+    records = spark.createDataFrame(rows[:1], schema)
+    for row in rows[1:]:
+        records = records.unionByName(spark.createDataFrame([row], schema))
+    turns = canonical_turns(records, "record", "conv_id", "turn")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
+    found = sorted((r.conv_id, r.turn, r.place if r.place is not None else -1, r.role or "", r.layout or "", r.digest)
+                   for r in turns.select("conv_id", "turn", "place", "role", "layout", digest).collect())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert found == [
+        (1, 0, 0, "user", "turn", sha(wanted)), (1, 1, 0, "assistant", "turn", sha("short")),
+        (2, 0, 0, "user", "messages", sha("q")), (2, 0, 1, "assistant", "messages", sha(wanted)),
+        (3, 0, 0, "user", "prompt", sha(wanted)), (3, 0, 1, "assistant", "prompt", sha("c")),
+        (4, 0, -1, "", "", sha("")), (5, 0, -1, "", "", sha(""))]
+    formatted = format_conversations(turns.where("conv_id = 1"), "conv_id").select(
+        "n_turns", F.sha2("turns_text", 256).alias("turns")).first()
+    assert tuple(formatted) == (2, sha(f"user\n{wanted}\nassistant\nshort\n"))
