@@ -128,3 +128,23 @@ def test_variable_segments_become_wildcards(spark):
     assert {r.template for r in out} == {"/de/*", "/fr/*", "/*/*"}
     assert {r.verdict for r in out if "/de/" in r.path} == {"block"}
     assert url_filters.url_filters(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_components_of_few_and_of_many_links(spark, monkeypatch):
+    """Chains, stars and rings, joined in one task and by steps over the table."""
+    rng = random.Random(6)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
+    edges += [(300 + rng.randrange(60), 300 + rng.randrange(60)) for _ in range(45)] + [(5, 5)]
+    names = list(range(400))
+    rng.shuffle(names)
+    edges = [(names[a], names[b]) for a, b in edges]
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    expected = {x: r for x, r in root.items() if any(x in e and e[0] != e[1] for e in edges)}
+    links = spark.createDataFrame(edges, "a long, b long")
+    for few in (ngram_join.FEW_LINKS, 20, -1):
+        monkeypatch.setattr(ngram_join, "FEW_LINKS", few)
+        assert {r["class"]: r.component for r in ngram_join.components(links).collect()} == expected
+    assert ngram_join.components(links.limit(0)).collect() == []
