@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridlake.llm.common import read_table, small_batches
+from gridlake.llm.fitting import bounded, fit_in_task
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with pattern spans that the field is fitted on at most, and as many without.
@@ -358,12 +359,17 @@ def redacted_column(field: Field | None, text: Column) -> Column:
 
 
 def fit_pii(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """A field fitted on the documents of the smallest hashes, half of them with an at-sign, plus or long number."""
-    text = F.coalesce("text", F.lit(""))
-    likely = F.rlike(text, F.lit(r"@[A-Za-z0-9-]+\.|\+[0-9]|[0-9]{12}|[0-9]\.[0-9]+\.[0-9]"))
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("place"), text.alias("text"), likely.alias("likely"))
-    chosen = [rows.where(c).orderBy("place", "text").limit(sample) for c in (F.col("likely"), ~F.col("likely"))]
-    return train(sorted({r.text for part in chosen for r in part.select("text").collect()}))
+    """A field fitted on the documents of the smallest hashes, half of them with an at-sign, plus or long number.
+
+    `sample` texts and `MOST_CHARS` characters of either half at most; a longer text is never in the sample.
+    """
+    likely = F.rlike("text", F.lit(r"@[A-Za-z0-9-]+\.|\+[0-9]|[0-9]{12}|[0-9]\.[0-9]+\.[0-9]"))
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("place"), F.coalesce("text", F.lit("")).alias("text"))
+    keys = texts.select("place", likely.alias("likely"), F.length("text").cast("long").alias("chars"))
+    chosen = bounded(keys, "likely", [F.col("place")], sample).select("place").distinct()
+    # At most 2 * sample hashes, and one text of each.
+    rows = texts.join(F.broadcast(chosen), "place").groupBy("place").agg(F.first("text").alias("text")).select("text")
+    return fit_in_task(rows, lambda found: train(sorted({text for text, in found})))
 
 
 def with_spans(docs: DataFrame, field: Field | None, name: str = "spans") -> DataFrame:

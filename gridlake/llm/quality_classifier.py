@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridlake.llm.common import read_table, small_batches
-from gridlake.llm.labels import fit_logistic, labelled_sample, remainder
+from gridlake.llm.labels import fit_labelled, fit_logistic, remainder
 
 FOLDS, HELD_OUT = 4, 2
 ACCEPT = 0.7
@@ -104,7 +104,7 @@ def score_column(model: Model | None, text: Column) -> Column:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
-    return train(labelled_sample(docs, labels, "quality", FOLDS, HELD_OUT, per_class))
+    return fit_labelled(docs, labels, "quality", FOLDS, HELD_OUT, per_class, train)
 
 
 def with_quality(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
