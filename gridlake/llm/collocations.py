@@ -33,8 +33,8 @@ TRIGGER = 16
 MIN_COUNT, PER_LANG, MAX_INSIDE_PERCENT = 30, 2000, 80
 #: Bits of the field of frequent phrases (16 MB), and of one of its rows.
 FIELD_BITS, ROW_BITS = 1 << 27, 1 << 15
-#: Bytes of text that are parsed together; a longer text is parsed alone, its words hashed in such parts.
-SLAB = 1 << 22
+#: Bytes of text that are parsed together, a longer text alone; and of those that are hashed together, a longer word alone.
+SLAB, PART = 1 << 22, 1 << 17
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -45,6 +45,16 @@ _LOWER[65:91] += 32
 _CHAR, _WORD, _OTHER = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of `_CHAR` and of its inverse modulo 2**64."""
+    out = []
+    for base in (int(_CHAR), pow(int(_CHAR), -1, 1 << 64)):
+        power = np.full(n, base, np.uint64)
+        power[:1] = 1
+        out.append(np.multiply.accumulate(power))
+    return out[0], out[1]
+
+
 class Words:
     """Words of several texts in a row: their bytes, hashes, texts, and where phrases may not pass."""
 
@@ -56,11 +66,12 @@ class Words:
         edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
         start, end = edge[::2], edge[1::2]
         self.n = len(start)
-        self.text = np.searchsorted(ends, start, "right")
-        breaks = np.flatnonzero(kind == 2)
-        passed = np.searchsorted(breaks, start)
+        words_before = np.searchsorted(start, ends)
+        self.text = np.repeat(np.arange(len(texts)), np.diff(words_before, prepend=0))
         self.new_text = np.diff(self.text, prepend=-1) != 0
-        new_piece = self.new_text | (np.diff(passed, prepend=-1) != 0)
+        new_piece = np.zeros(self.n + 1, bool)
+        new_piece[np.searchsorted(start, np.flatnonzero(kind == 2))] = True
+        new_piece = new_piece[:self.n] | self.new_text
         self.piece = np.cumsum(new_piece)
         # One byte between words: a line end where a phrase may not pass, else a blank.
         raw[end[:-1]] = np.where(new_piece[1:], 10, 32)
@@ -68,38 +79,46 @@ class Words:
         self.plain = raw[inside].tobytes()
         self.size = end - start
         self.at = np.cumsum(self.size + 1) - self.size - 1
-        self.hash = self._hashes(raw, start)
-
-    def _hashes(self, raw, start):
-        out = np.zeros(self.n, np.uint64)
-        part = 0
-        while part < self.n:
-            stop = max(part + 1, int(np.searchsorted(self.at, self.at[part] + SLAB)))
-            size = self.size[part:stop]
-            first = np.cumsum(size) - size
-            within = np.arange(int(size.sum())) - np.repeat(first, size)
-            power = np.full(int(size.max()), _CHAR, np.uint64)
-            power[0] = 1
-            power = np.multiply.accumulate(power)
-            letters = raw[np.repeat(start[part:stop], size) + within].astype(np.uint64) + np.uint64(1)
-            out[part:stop] = mix(np.add.reduceat(letters * power[within], first) + size.astype(np.uint64) * _WORD)
+        self.hash = self._hashes(raw, start, end)
+        self.sums = {}
+
+    @staticmethod
+    def _hashes(raw, start, end):
+        """Sums of characters times powers by place in the word, as differences of running sums over parts of the bytes."""
+        out, part = np.zeros(len(start), np.uint64), 0
+        power, inverse = _powers(PART)
+        while part < len(start):
+            stop = max(part + 1, int(np.searchsorted(end, start[part] + PART, "right")))
+            first, length = start[part], int(end[stop - 1] - start[part])
+            if length > len(power):
+                power, inverse = _powers(length)
+            sums = np.zeros(length + 1, np.uint64)
+            letters = raw[first:first + length].astype(np.uint64) + np.uint64(1)
+            np.cumsum(letters * power[:length], out=sums[1:])
+            size = (end[part:stop] - start[part:stop]).astype(np.uint64)
+            from_ = start[part:stop] - first
+            out[part:stop] = mix((sums[end[part:stop] - first] - sums[from_]) * inverse[from_] + size * _WORD)
             part = stop
         return out
 
     def rolled(self, n: int, seed, by=_WORD) -> np.ndarray:
         """Hash of the `n` words from each word on; the last words have none.  `seed` is one value or one per word."""
         count = max(0, self.n - n + 1)
-        total = np.zeros(count, np.uint64) + (seed if np.isscalar(seed) else seed[:count])
-        times = np.uint64(1)
         with np.errstate(over="ignore"):
-            for i in range(n):
-                total += self.hash[i:i + count] * times
-                times *= by
-            return mix(total + np.uint64(n) * by)
+            if (n, by) not in self.sums:
+                one = self.hash if n == 1 else (self._sum(n - 1, by)[:count]
+                                                + self.hash[n - 1:] * np.uint64(pow(int(by), n - 1, 1 << 64)))
+                self.sums[n, by] = one
+            return mix(self.sums[n, by][:count] + (seed if np.isscalar(seed) else seed[:count]) + np.uint64(n) * by)
+
+    def _sum(self, n, by):
+        self.rolled(n, np.uint64(0), by) if (n, by) not in self.sums else None
+        return self.sums[n, by]
 
-    def phrase(self, first: int, n: int) -> str:
+    def phrases(self, first: np.ndarray, n: int) -> list[str]:
         last = first + n - 1
-        return self.plain[self.at[first]:self.at[last] + self.size[last]].decode()
+        return [self.plain[a:b].decode() for a, b in zip(
+            self.at[first].tolist(), (self.at[last] + self.size[last]).tolist())]
 
 
 def slabs(batches, columns):
@@ -162,6 +181,7 @@ class Phrases:
         seeds = {lang: np.uint64(zlib.crc32(lang.encode()) + 1) for lang in set(langs)}
         self.seed = mix(np.array([seeds[lang] for lang in langs], np.uint64))[self.chunk]
         self.weight = np.asarray(weight, np.int64)[self.chunk]
+        self.good = None
 
     def whole(self, n: int) -> np.ndarray:
         """Whether the `n` words from each word on make a phrase."""
@@ -174,8 +194,9 @@ class Phrases:
 
     def pairs_frequent(self, n: int, field: np.ndarray) -> np.ndarray:
         """Phrases of `n` words whose pairs are all marked."""
-        good = self.whole(2) & marked(field, self.hashes(2))
-        out = self.whole(n)
+        if self.good is None:
+            self.good = self.whole(2) & marked(field, self.hashes(2))
+        good, out = self.good, self.whole(n)
         for i in range(n - 1):
             out &= good[i:i + len(out)]
         return out
@@ -188,7 +209,7 @@ def marked(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def summed(keys: np.ndarray, weight: np.ndarray, also: np.ndarray | None = None):
     """First places and total weights of equal keys (and equal `also`)."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     new = np.diff(keys, prepend=keys[:1]) != 0
     if also is not None:
@@ -256,7 +277,7 @@ def phrase_counts(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFram
                                       phrases.words.rolled(n, phrases.seed, _OTHER)[kept])
                 at = kept[first]
                 out["lang"] += [rest[0][c] for c in phrases.chunk[at].tolist()]
-                out["phrase"] += [phrases.words.phrase(k, n) for k in at.tolist()]
+                out["phrase"] += phrases.words.phrases(at, n)
                 out["f"] += total.tolist()
             yield pa.RecordBatch.from_pydict(out, pa.schema([
                 ("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())]))
