@@ -15,6 +15,9 @@ from gridlake.operators.windows import keep_latest
 from gridlake.session import cut_lineage
 from gridlake.sources.landing import scan_or_none
 
+#: Partitions of a batch that are named one by one when a table is read; names only, a short row each.
+MOST_LISTED = 1000
+
 
 def _arranged(df: DataFrame, partition: list[str], cluster: list[str]) -> DataFrame:
     """Rows grouped by partition in files of a good size, sorted by `cluster` inside.
@@ -77,11 +80,16 @@ def append(df: DataFrame, path: str, partition: list[str], cluster: list[str]) -
 def in_same_partitions(old: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
     """Rows of `old` in partitions that occur in `batch`; rows without a partition value count as one.
 
-    The span of the batch prunes the directories, the join picks those inside the span.
+    The partitions of the batch are listed, so that no directory between them is read.  A batch of more than
+    `MOST_LISTED` partitions is found by its span, which prunes, and a join, which picks those inside the span.
     """
-    span = batch.agg(F.min(partition).alias("first"), F.max(partition).alias("last")).first()
     own = F.col(partition)
-    inside = own.isNull() if span.first is None else own.isNull() | own.between(F.lit(span.first), F.lit(span.last))
+    values = [r[0] for r in batch.select(partition).distinct().limit(MOST_LISTED + 1).collect()]
+    if len(values) <= MOST_LISTED:
+        listed = own.isin([v for v in values if v is not None])
+        return old.where(listed | own.isNull() if None in values else listed)
+    span = batch.agg(F.min(partition).alias("first"), F.max(partition).alias("last")).first()
+    inside = own.isNull() | own.between(F.lit(span.first), F.lit(span.last))
     return with_keys(old.where(inside), batch, [partition])
 
 

@@ -120,3 +120,22 @@ def test_transform_with_fuels_of_the_data(spark, tmp_path):
     assert {"solar", "fossil_gas", "energy_storage"} < set(table.columns) and table.count() == 2 * DAYS
     main([*job, "full", "--fuels", "Fossil Gas"])
     assert "solar" not in scan_merged(spark, f"{tmp_path}/entsoe_eu_hourly_wide").columns
+
+
+@pytest.mark.parametrize("listed", [1000, 1])
+def test_only_the_partitions_of_a_batch_are_read(spark, tmp_path, monkeypatch, listed):
+    """An old and a new day, and rows without a day: the days between stay unread, and whole."""
+    from gridlake.sinks import tables
+
+    monkeypatch.setattr(tables, "MOST_LISTED", listed)
+    days = [(FIRST + timedelta(days=i), i) for i in range(9)] + [(None, 100)]
+    path = str(tmp_path / "days")
+    tables.reload_days(spark.createDataFrame(days, "date date, n int"), path, ["n"])
+    stored = spark.read.parquet(path)
+    batch = spark.createDataFrame([(FIRST, -1), (FIRST + timedelta(days=8), -2), (None, -3)], "date date, n int")
+    same = tables.in_same_partitions(stored, batch, "date")
+    assert sorted(r.n for r in same.collect()) == [0, 8, 100]
+    if listed > 1:
+        assert all(f"2024-01-0{i}" not in f for f in filters(same) for i in range(2, 9))
+    tables.replace_keys(batch, path, ["date"], ["n"], by_month=False)
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == [-3, -2, -1, *range(1, 8)]
