@@ -397,6 +397,27 @@ _SOURCES = {
             when 4 then 'empty' when 5 then 'malformed' when 6 then 'malformed' end as reason
         from demand"""),
     "hourly_wide_dynamic": ("gen prices", DYNAMIC),
+    "demand_stamped": ("demand", """select event_ts, demand_date, interval_id, demand_mw, 'PSE' as source,
+        timestamp '2024-02-01 12:30:00' as ingested_at from demand"""),
+    "lower_names": ("", "select event_id, event_type, value from events"),
+    "stored_marts": ("country_daily", """select * replace (round(avg_price_eur_mwh, 6) as avg_price_eur_mwh)
+        from country_daily"""),
+    "mart_views": ("raw_country quotes", """select price_date, count(distinct country) as countries,
+        max(close) as best_close from (select cast(timestamp as date) as price_date, country from raw_country
+            where price_eur_mwh is not null)
+        join (select date as price_date, close from quotes where close is not null) using (price_date)
+        group by price_date"""),
+    "raw_registry": ("prices gen", """select p.zone, p.date, count(distinct fuel_type) as fuels,
+        max(price_eur_mwh) as best from prices p join gen g on p.zone = g.zone and p.timestamp = g.timestamp
+        group by p.zone, p.date"""),
+    "typed_table": ("demand", """select event_ts, demand_date, interval_id, demand_mw, 'PSE' as source, ingested_at
+        from demand where demand_date >= date '2024-01-20'"""),
+    "day_refreshed": ("prices", """select timestamp, zone, cast(date as varchar) as dt, case when zone in ('3', '7')
+        and date = date '2024-01-15' then -1.0 else price_eur_mwh end as price_eur_mwh
+        from prices where date between date '2024-01-14' and date '2024-01-16'"""),
+    "range_refreshed": ("", f"""select cast(cast(ts as date) as varchar) as doba, cast(ts as varchar) as udtczas,
+        case when event_type <> 'error' then value end as zap_kse, cast({INTERVAL} as bigint) as znacznik
+        from events where cast(ts as date) between date '2024-01-05' and date '2024-03-01'"""),
     "stream_messages": ("demand", """select date_trunc('millisecond', event_ts) as event_ts, demand_date,
         interval_id, demand_mw, 'PSE' as source, date_trunc('millisecond', ingested_at) as ingested_at
         from demand"""),

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gridlake import schemas
 from gridlake.functions import columns, message_key, total
 from gridlake.operators import joins, quality, reshape, staging, windows
-from gridlake.plans import loads, marts, reports, wide
+from gridlake.plans import build, loads, marts, reports, wide
 from gridlake.session import shared_dir
 from gridlake.sinks import tables as sinks
 from gridlake.sources import landing, zones as zone_sources
+from gridlake.sources.registry import RawTables
 from gridlake.streaming import feed, intake, sinks as stream_sinks
 from gridlake.streaming.ledger import Ledger
 from testbed import derive
@@ -569,6 +570,75 @@ def upsert_demand(spark, sf_dir):
     return spark.read.parquet(path).select(*rows.columns)
 
 
+# --- tables by name ---------------------------------------------------------------------------------
+
+def demand_stamped(spark, sf_dir):
+    stamp = F.lit("2024-02-01 12:30:00").cast("timestamp")
+    return plain(staging.demand_events(derive.feed_records(spark, sf_dir), stamp))
+
+
+def lower_names(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return reshape.flatten_names(events.toDF("Event_ID", "EVENT_TYPE", "Value"))
+
+
+def stored_marts(spark, sf_dir):
+    """A mart, built with all that it needs, stored by month and read back."""
+    raw = {"entsoe_prices_pl": derive.country_prices(spark, sf_dir)}
+    stored = build.store(raw, scratch(spark, "marts"), ["fct_daily_prices"])
+    return rounded(plain(stored["fct_daily_prices"].drop("month")), "avg_price_eur_mwh")
+
+
+def mart_views(spark, sf_dir):
+    """Models as views, asked in SQL."""
+    raw = {"entsoe_prices_pl": derive.country_prices(spark, sf_dir), "yahoo_prices": derive.quotes(spark, sf_dir)}
+    build.register_views(build.build(raw, ["stg_entsoe__prices", "stg_yahoo__prices"]))
+    return plain(spark.sql("""select price_date, count(distinct country) as countries, max(close_price) as best_close
+        from stg_entsoe__prices join stg_yahoo__prices using (price_date) group by price_date"""))
+
+
+def raw_registry(spark, sf_dir):
+    """Raw tables under one root, found by name and asked in SQL."""
+    root = scratch(spark, "raw")
+    raw = RawTables(spark, root)
+    instant = F.col("timestamp").cast("timestamp")
+    for name, df in (("entsoe_eu_prices", derive.prices(spark, sf_dir)),
+                     ("entsoe_eu_generation", derive.generation(spark, sf_dir))):
+        df.withColumn("timestamp", instant).write.parquet(raw.path(name))
+    raw.register_views(["entsoe_eu_prices", "entsoe_eu_generation"])
+    return spark.sql("""select p.zone, p.date, count(distinct fuel_type) as fuels, max(price_eur_mwh) as best
+        from entsoe_eu_prices p join entsoe_eu_generation g on p.zone = g.zone and p.timestamp = g.timestamp
+        group by p.zone, p.date""")
+
+
+def typed_table(spark, sf_dir):
+    """A table created twice with types and a day level, filled by name and found again by a filter on the day."""
+    name, path = f"demand_{uuid.uuid4().hex}", scratch(spark, "typed")
+    rows = derive.demand_stream(spark, sf_dir).withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("event_ts", "ingested_at")})
+    for _ in range(2):
+        sinks.ensure_table(spark, name, schemas.DEMAND_STREAM, path, ["demand_date"])
+    rows.select(*spark.table(name).columns).write.insertInto(name)
+    return plain(spark.table(name).where(F.col("demand_date") >= F.lit(CUT).cast("date")))
+
+
+def day_refreshed(spark, sf_dir):
+    """All days landed, then one day of some zones landed again with other values."""
+    path = scratch(spark, "landing")
+    prices = derive.prices(spark, sf_dir).select(F.col("timestamp").cast("timestamp"), "price_eur_mwh", "zone")
+    for i in (14, 15, 16):
+        loads.refresh_day(prices, f"2024-01-{i}", path)
+    loads.refresh_day(prices.withColumn("price_eur_mwh", F.lit(-1.0)), DAY, path, ["3", "7"])
+    return plain(landing.scan_landing(spark, path, schemas.LANDED_PRICES)).drop("country")
+
+
+def range_refreshed(spark, sf_dir):
+    path, rows = scratch(spark, "demand"), derive.demand_batch(spark, sf_dir)
+    for first, last in (("2024-01-05", "2024-01-12"), ("2024-01-10", "2024-03-01")):
+        loads.refresh_range(rows, first, last, path)
+    return plain(spark.read.schema(schemas.DEMAND_BATCH).parquet(path).select("doba", "udtczas", "zap_kse", "znacznik"))
+
+
 # --- streams ----------------------------------------------------------------------------------------
 
 def _event_stream(spark, sf_dir):
@@ -698,5 +768,6 @@ QUERIES = {f.__name__: f for f in (
     month_table, land_and_scan, load_prices, load_generation, reload_dates, reload_zone_days,
     table_day, append_rows, rows_written, load_partial_day, reload_null_days, pivot_unlisted_fuel,
     default_source, ordered_zones, upsert_demand, stream_dedup, stream_window_15m, stream_window_1h, stream_upsert, stream_messages,
-    stream_rejects, stream_resume, stream_late, hourly_wide_dynamic,
+    stream_rejects, stream_resume, stream_late, hourly_wide_dynamic, demand_stamped, lower_names, stored_marts,
+    mart_views, raw_registry, typed_table, day_refreshed, range_refreshed,
 )}
