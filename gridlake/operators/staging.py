@@ -6,6 +6,7 @@ from gridlake.constants import DEMAND_SOURCE
 from gridlake.functions import (
     date_of, interval_day, interval_id, local_to_utc, nan_to_null, to_int64, to_numeric,
 )
+from gridlake.operators.clock import closed_day, elapsed_interval, with_utc
 from gridlake.operators.windows import keep_latest, keep_newest_version, trailing_rows_mean
 
 MIX_COLUMNS = [
@@ -119,6 +120,31 @@ def zone_generation(landed: DataFrame) -> DataFrame:
     )
 
 
-def to_utc(df: DataFrame, zone: Column | str, ts: str = "timestamp") -> DataFrame:
-    """Local wall-clock timestamps to UTC."""
-    return df.withColumn(ts, local_to_utc(F.col(ts), zone))
+def to_utc(df: DataFrame, zone: Column | str, ts: str = "timestamp", order=(), keys=("zone",)) -> DataFrame:
+    """Local wall-clock timestamps to UTC.
+
+    A stamp that passes twice in autumn is taken as its first pass, unless `order` says in which order the feed gives
+    the rows of a series (:func:`gridlake.operators.clock.with_utc`).
+    """
+    if not order:
+        return df.withColumn(ts, local_to_utc(F.col(ts), zone))
+    return with_utc(df, zone, order, keys, ts, "_utc").withColumn(ts, F.col("_utc")).drop("_utc")
+
+
+def demand_events_by_order(records: DataFrame, zone: str, order, ingested_at: Column | None = None) -> DataFrame:
+    """Feed records of local time to stream rows, right on the days of a clock change too.
+
+    `order` names the columns that tell in which order the feed gives its records.  Intervals count the quarter-hours
+    since local midnight, so a day has 92, 96 or 100 of them.
+    """
+    stamp = F.current_timestamp() if ingested_at is None else ingested_at
+    local = records.withColumn("_local", F.col("dtime").cast("timestamp"))
+    utc = F.col("_utc")
+    return with_utc(local, zone, order, (), "_local", "_utc").select(
+        utc.alias("event_ts"),
+        closed_day(utc, zone).alias("demand_date"),
+        elapsed_interval(utc, zone).alias("interval_id"),
+        F.col("demand").cast("double").alias("demand_mw"),
+        F.lit(DEMAND_SOURCE).alias("source"),
+        stamp.alias("ingested_at"),
+    )

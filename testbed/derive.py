@@ -166,3 +166,29 @@ def two_months(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     gen = moved(generation(spark, sf_dir), odd).where(odd | ~fuel.isin("Solar", "Wind Onshore"))
     gen = gen.withColumn("fuel_type", F.when(odd & (fuel == "Waste"), "Energy storage").otherwise(fuel))
     return gen, moved(prices(spark, sf_dir), odd)
+
+
+def _on_change_days(utc, number):
+    """6 January becomes the day of a clock change: in spring for even numbers, in autumn for odd ones."""
+    return utc + F.when(number % 2 == 0, F.expr("INTERVAL 85 DAYS")).otherwise(F.expr("INTERVAL 295 DAYS"))
+
+
+def _warsaw(utc):
+    """Local time of 2024, by the two changes of that year."""
+    summer = (utc >= F.expr("TIMESTAMP_NTZ '2024-03-31 01:00:00'")) & (utc < F.expr("TIMESTAMP_NTZ '2024-10-27 01:00:00'"))
+    return utc + F.when(summer, F.expr("INTERVAL 2 HOURS")).otherwise(F.expr("INTERVAL 1 HOUR"))
+
+
+def local_prices(spark, sf_dir) -> DataFrame:
+    """Prices at local stamps around both clock changes; `place` is the order of a zone's rows in the feed."""
+    utc = _on_change_days(F.col("timestamp"), F.col("zone").cast("int"))
+    return prices(spark, sf_dir).select(
+        _warsaw(utc).alias("timestamp"), "zone", "price_eur_mwh", F.unix_micros(utc.cast("timestamp")).alias("place"))
+
+
+def local_records(spark, sf_dir) -> DataFrame:
+    """Feed records at local stamps around both clock changes, with their place in the feed."""
+    utc = _on_change_days(F.col("ts"), F.col("user_id"))
+    return table(spark, sf_dir, "events").select(
+        _warsaw(utc).cast("string").alias("dtime"), F.col("value").alias("demand"),
+        F.unix_micros(utc.cast("timestamp")).alias("place"), "event_id")

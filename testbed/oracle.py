@@ -54,7 +54,26 @@ WEEK = " over (partition by zone order by timestamp range between interval 168 h
 WEEK_ROWS = " over (partition by zone order by timestamp rows between 167 preceding and current row)"
 INTERVAL = "coalesce(nullif((hour(ts) * 60 + minute(ts)) // 15, 0), 96)"
 
+
+
+def read_in_order(rows, series):
+    """Instants of local stamps of 2024, in the repeated hour by the order of the rows."""
+    return f"""select * replace (case when not twice then utc when coalesce(bool_or(back) over (partition by {series}
+            twice order by place, tie), false) then local - interval 1 hour else local - interval 2 hours end as utc)
+        from (select *, local <= lag(local) over (partition by {series} twice order by place, tie) as back
+        from (select *, local >= timestamp '2024-10-27 02:00' and local < timestamp '2024-10-27 03:00' as twice
+        from (select *, epoch_us(utc) as place, utc + case when utc >= timestamp '2024-03-31 01:00'
+            and utc < timestamp '2024-10-27 01:00' then interval 2 hours else interval 1 hour end as local
+        from ({rows}))))"""
+
+
 PARTS = {
+    "local_prices": read_in_order("""select timestamp + case when cast(zone as integer) % 2 = 0 then interval 85 days
+        else interval 295 days end as utc, zone, price_eur_mwh, 0 as tie from (
+        select date_trunc('hour', ts) as timestamp, cast(user_id // 5 % 30 as varchar) as zone,
+            max(value) - 40 as price_eur_mwh from events group by all)""", "zone,"),
+    "local_records": read_in_order("""select ts + case when user_id % 2 = 0 then interval 85 days
+        else interval 295 days end as utc, value as demand_mw, event_id as tie from events""", ""),
     "gen": f"""select cast(ts as date) as date, date_trunc('hour', ts) as timestamp,
         cast(user_id % 30 as varchar) as zone,
         list_extract({FUEL_LIST}, cast(regexp_extract(props, '[0-9]+') as integer) % 20 + 1) as fuel_type,
@@ -227,6 +246,14 @@ _SOURCES = {
         'PSE' as source, cast(null as timestamp) as ingested_at from demand"""),
     "prices_to_utc": ("prices", """select date, timestamp - interval 1 hour as timestamp, zone, price_eur_mwh
         from prices"""),
+    "prices_to_utc_dst": ("local_prices", "select utc as timestamp, zone, price_eur_mwh from local_prices"),
+    "demand_intervals_dst": ("local_records", """select utc as event_ts, day as demand_date, cast(floor((epoch_us(utc)
+        - epoch_us(day - case when day > date '2024-03-31' and day <= date '2024-10-27' then interval 2 hours
+            else interval 1 hour end)) / 900000000) as bigint) as interval_id,
+        demand_mw, 'PSE' as source, cast(null as timestamp) as ingested_at
+        from (select *, cast(utc - interval 15 minutes + case when utc - interval 15 minutes >= timestamp '2024-03-31 01:00'
+            and utc - interval 15 minutes < timestamp '2024-10-27 01:00' then interval 2 hours else interval 1 hour end
+            as date) as day from local_records)"""),
     "hourly_resample": ("", f"""select cast(ts as date) as date, date_trunc('hour', ts) as timestamp,
         cast(user_id % 30 as varchar) as zone, {exact_avg('value')} as price_eur_mwh from events group by all"""),
     "price_7d_range": ("prices", f"select *, {exact_avg('price_eur_mwh', WEEK)} as price_7d_mean from prices"),

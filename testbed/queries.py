@@ -68,6 +68,15 @@ def prices_to_utc(spark, sf_dir):
     return plain(staging.to_utc(derive.prices(spark, sf_dir), "Europe/Warsaw"))
 
 
+def prices_to_utc_dst(spark, sf_dir):
+    return plain(staging.to_utc(derive.local_prices(spark, sf_dir), "Europe/Warsaw", order=["place"]).drop("place"))
+
+
+def demand_intervals_dst(spark, sf_dir):
+    return plain(staging.demand_events_by_order(
+        derive.local_records(spark, sf_dir), "Europe/Warsaw", ["place", "event_id"], F.lit(None).cast("timestamp")))
+
+
 def hourly_resample(spark, sf_dir):
     readings = table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("date"), F.col("ts").alias("timestamp"),
@@ -769,5 +778,5 @@ QUERIES = {f.__name__: f for f in (
     table_day, append_rows, rows_written, load_partial_day, reload_null_days, pivot_unlisted_fuel,
     default_source, ordered_zones, upsert_demand, stream_dedup, stream_window_15m, stream_window_1h, stream_upsert, stream_messages,
     stream_rejects, stream_resume, stream_late, hourly_wide_dynamic, demand_stamped, lower_names, stored_marts,
-    mart_views, raw_registry, typed_table, day_refreshed, range_refreshed,
+    mart_views, raw_registry, typed_table, day_refreshed, range_refreshed, prices_to_utc_dst, demand_intervals_dst,
 )}
