@@ -439,6 +439,9 @@ _SOURCES = {
         group by p.zone, p.date"""),
     "typed_table": ("demand", """select event_ts, demand_date, interval_id, demand_mw, 'PSE' as source, ingested_at
         from demand where demand_date >= date '2024-01-20'"""),
+    "bucketed_join": ("pivoted prices", "select * from pivoted full join prices using (date, timestamp, zone)"),
+    "write_checked": ("country_daily", """select *, (select count(*) from country_daily where country = 'R')
+        as n_refused from country_daily"""),
     "day_refreshed": ("prices", """select timestamp, zone, cast(date as varchar) as dt, case when zone in ('3', '7')
         and date = date '2024-01-15' then -1.0 else price_eur_mwh end as price_eur_mwh
         from prices where date between date '2024-01-14' and date '2024-01-16'"""),

@@ -9,7 +9,7 @@ from gridlake.functions import columns, message_key, total
 from gridlake.operators import joins, quality, reshape, staging, windows
 from gridlake.plans import build, loads, marts, reports, wide
 from gridlake.session import shared_dir
-from gridlake.sinks import tables as sinks
+from gridlake.sinks import buckets, checked, tables as sinks
 from gridlake.sources import landing, zones as zone_sources
 from gridlake.sources.registry import RawTables
 from gridlake.streaming import feed, intake, sinks as stream_sinks
@@ -631,6 +631,29 @@ def typed_table(spark, sf_dir):
     return plain(spark.table(name).where(F.col("demand_date") >= F.lit(CUT).cast("date")))
 
 
+def bucketed_join(spark, sf_dir):
+    """Generation and prices as tables with the same buckets, joined on their keys."""
+    names = []
+    for kind, df in (("generation", derive.generation(spark, sf_dir)), ("prices", derive.prices(spark, sf_dir))):
+        names.append(f"{kind}_{uuid.uuid4().hex}")
+        buckets.write_buckets(df, names[-1], scratch(spark, kind), 8)
+    gen, prices = (spark.table(n) for n in names)
+    return joins.attach_prices(reshape.pivot_generation(gen, scale=2), prices, "full")
+
+
+def write_checked(spark, sf_dir):
+    """A good mart is published, then a broken one refused: what readers see, and the failures of the second."""
+    name, root = f"mart_{uuid.uuid4().hex}", scratch(spark, "checked")
+    contract = quality.CONTRACTS["fct_daily_prices"]
+    mart = marts.daily_prices(staging.country_prices(derive.country_prices(spark, sf_dir)), scale=2)
+    good = checked.publish_checked(mart, name, root, contract, cluster=["price_date"])
+    broken = mart.withColumn("avg_price_eur_mwh", F.when(F.col("country") != "R", F.col("avg_price_eur_mwh")))
+    bad = checked.publish_checked(broken, name, root, contract)
+    if not good.published or bad.published:
+        raise ValueError(f"published: {good}, {bad}")
+    return plain(spark.table(name).withColumn("n_refused", F.lit(bad.n_failures).cast("bigint")))
+
+
 def day_refreshed(spark, sf_dir):
     """All days landed, then one day of some zones landed again with other values."""
     path = scratch(spark, "landing")
@@ -779,4 +802,5 @@ QUERIES = {f.__name__: f for f in (
     default_source, ordered_zones, upsert_demand, stream_dedup, stream_window_15m, stream_window_1h, stream_upsert, stream_messages,
     stream_rejects, stream_resume, stream_late, hourly_wide_dynamic, demand_stamped, lower_names, stored_marts,
     mart_views, raw_registry, typed_table, day_refreshed, range_refreshed, prices_to_utc_dst, demand_intervals_dst,
+    bucketed_join, write_checked,
 )}
