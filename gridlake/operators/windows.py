@@ -54,22 +54,28 @@ def trailing_mean(df: DataFrame, value: str = "price_eur_mwh", out: str = "price
 def numbered(df: DataFrame, keys, order, ts: str, slice_micros: int, out: str = "_pos") -> DataFrame:
     """Number the rows of every series from 0 without putting a series into one task.
 
-    Rows are counted per series and time slice, the counts are accumulated, and the rows are numbered
-    inside their slice.  `order` has to start with `ts` and to be unique within a series.
+    Rows are dealt once by series and time slice.  Both the numbers inside a slice and the count of its rows are taken
+    from that one exchange; the counts, one short row a slice, are accumulated and joined back.  `order` has to start
+    with `ts` and to be unique within a series.
     """
     at = epoch_micros(df, ts)
     part = ((at - F.pmod(at, F.lit(slice_micros))) / F.lit(slice_micros)).cast("bigint")
-    sliced = df.withColumn("_part", part)
     groups = [*keys, "_part"]
+    dealt = df.withColumn("_part", part).repartition(*[F.col(g) for g in groups])
+    # Spark computes an exchange once for both branches only if they read the same columns of it.  The counts need
+    # none but the groups, so the largest hash of a whole row keeps the others in; it is never NULL.  (Where a caller
+    # drops columns afterwards, or some have a type without hash, the input is read twice, with the same result.)
+    hashed = [f"`{c}`" for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    counts = dealt.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(F.xxhash64(*hashed)).alias("_whole")).where("_whole is not null")
     before = (Window.partitionBy(*[f"_of_{k}" for k in keys]).orderBy("_of__part")
               .rowsBetween(Window.unboundedPreceding, -1))
     starts = (
-        sliced.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_rows", *[F.col(g).alias(f"_of_{g}") for g in groups])
+        counts.select("_rows", *[F.col(g).alias(f"_of_{g}") for g in groups])
         .select("*", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     inside = Window.partitionBy(*groups).orderBy(*order)
-    ranked = sliced.withColumn("_rank", F.row_number().over(inside) - 1)
+    ranked = dealt.withColumn("_rank", F.row_number().over(inside) - 1)
     # NULL keys form a series too, so the join has to treat them as equal.
     same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in groups]
     return (ranked.join(starts, same, "inner")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from gridlake.operators import windows
+from testbed.queries import QUERIES
 
 
 def test_frames_have_169_and_168_points(price_hours):
@@ -134,3 +135,20 @@ def test_smoothed_demand(spark):
         "demand_date date, interval_id bigint, demand_mw double")
     got = {(r.demand_date.day, r.interval_id): r.demand_mw_1h_avg for r in windows.smoothed_demand(df).collect()}
     assert got[1, 1] == 1.0 and got[1, 4] == 2.5 and got[1, 6] == 4.5 and got[2, 1] == 50.0
+
+
+@pytest.mark.parametrize("name, file", [("price_7d_rows", "events"), ("commodity_returns", "orders")])
+def test_row_windows_scan_their_input_once(spark, name, file):
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 1 and f"{file}.parquet" in final
+
+
+def test_rows_with_a_map_are_numbered_too(price_hours, rows):
+    prices = price_hours({"A": {h: float(h) for h in range(0, 300, 7)}, None: {3: 1.0}})
+    mapped = prices.withColumn("m", F.create_map(F.lit("k"), F.col("zone")))
+    got = windows.numbered(mapped, ["zone"], ["timestamp"], "timestamp", windows.DAY)
+    plain = F.row_number().over(Window.partitionBy("zone").orderBy("timestamp")) - 1
+    assert rows(got, "zone", "timestamp", "_pos") == rows(
+        prices.select("zone", "timestamp", plain.cast("long").alias("_pos")))
