@@ -1,8 +1,10 @@
 """Quality rules: counts within a text, and lines that many documents of a host share.
 
 Base rules look at one text: words, symbols, repeated lines and words in repeated windows.  The method looks at all
-documents: lines are normalised and hashed, the documents of each host that hold a line are counted, lines in more
-documents than the limits allow are removed, and a document that loses most of its words is rejected.
+documents: lines are normalised and hashed, the documents of each host that hold a line are counted, lines that stand in
+more than a fixed number of them are removed, and a document that loses most of its words is rejected.  The number does
+not depend on the size of the host; lines with few characters, which recur by chance, stay.  Copies of a document count
+as documents: a text that a host has more often than the limit loses its lines, so near copies should be reduced before.
 
 Edge cases: a null text is an empty one, has no words and fails the base rules; a null host is a host of its own; a
 document counts once for a line, however often it holds it; a repeated row counts as a further document and is
@@ -16,8 +18,10 @@ from gridlake.llm.common import BLANKS, LOWER, UPPER, read_table
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
-#: A line is common when more documents of its host hold it than both limits allow.
-MIN_DOCS, MAX_SHARE_PERCENT = 50, 10
+#: A line is common when more documents of its host hold it than this.
+MOST_DOCS = 5
+#: Shorter lines, by the characters of their words, are never common.
+MIN_LINE_CHARS = 20
 #: A document is depleted when fewer of its word characters than this are left.
 MIN_LEFT_PERCENT = 30
 
@@ -103,29 +107,34 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", failed)
 
 
+def line_chars(normal: Column) -> Column:
+    """Characters of the words of a normalised line."""
+    return F.length(F.translate(normal, " ", "")).cast("long")
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """A row per line with a word: row key, host, place in the text, hash of the normalised line, word characters."""
     found = F.transform(lines_of(F.col("text")), lambda line: let(normal_line(line), lambda n: F.struct(
-        F.xxhash64(n).alias("line"), F.length(F.translate(n, " ", "")).cast("long").alias("chars"))))
+        F.xxhash64(n).alias("line"), line_chars(n).alias("chars"))))
     return docs.select("key_1", "key_2", "host", F.posexplode(found).alias("place", "x")).select(
         "key_1", "key_2", "host", "place", "x.line", "x.chars")
 
 
-def common_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: int = MAX_SHARE_PERCENT) -> DataFrame:
-    """Host and hash of the lines that more documents of the host hold than the limits allow."""
-    distinct = F.array_distinct(F.transform(lines_of(F.col("text")), lambda x: F.xxhash64(normal_line(x))))
-    held = docs.select("host", F.explode(distinct).alias("line")).groupBy("host", "line").agg(
-        F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs)
-    sizes = docs.groupBy("host").agg(F.count(F.lit(1)).alias("n_host"))
-    return held.join(sizes, "host").where(100 * F.col("n_docs") > max_share * F.col("n_host")).select("host", "line")
+def common_lines(docs: DataFrame, most_docs: int = MOST_DOCS, min_chars: int = MIN_LINE_CHARS) -> DataFrame:
+    """Host and hash of the lines of `min_chars` or more that over `most_docs` documents of the host hold."""
+    normal = F.transform(lines_of(F.col("text")), normal_line)
+    long_enough = F.filter(normal, lambda n: line_chars(n) >= min_chars)
+    distinct = F.array_distinct(F.transform(long_enough, lambda n: F.xxhash64(n)))
+    return docs.select("host", F.explode(distinct).alias("line")).groupBy("host", "line").agg(
+        F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > most_docs).select("host", "line")
 
 
-def quality_rules(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS,
-                  max_share: int = MAX_SHARE_PERCENT, min_left: int = MIN_LEFT_PERCENT) -> DataFrame:
+def quality_rules(docs: DataFrame, host: str = "source", most_docs: int = MOST_DOCS,
+                  min_chars: int = MIN_LINE_CHARS, min_left: int = MIN_LEFT_PERCENT) -> DataFrame:
     """Per document: doc_id, the counts, base_failed, n_removed_lines, kept, and clean_text without common lines."""
     keyed = with_key(docs, host)
     # Only lines that are removed are grouped by document; a frequent line meets its documents in a splittable join.
-    hits = lines(keyed).join(common_lines(keyed, min_docs, max_share), ["host", "line"])
+    hits = lines(keyed).join(common_lines(keyed, most_docs, min_chars), ["host", "line"])
     # Rows that agree in id, host and text share a key: their lines are taken once.
     once = hits.groupBy("key_1", "key_2", "place").agg(F.max("line").alias("line"), F.max("chars").alias("chars"))
     removed = once.groupBy("key_1", "key_2").agg(
@@ -173,13 +182,9 @@ raw_lines as (
   where regexp_matches(line, '[^\x20\x09-\x0D]')),
 dups as (
   select row_id, count(*) - count(distinct line) as n from raw_lines group by row_id),
-sizes as (select host, no_host, count(*) as n_host from docs group by host, no_host),
 common as (
-  select l.host, l.no_host, l.lower_line
-  from (select host, no_host, lower_line, count(distinct row_id) as n_docs from raw_lines
-        group by host, no_host, lower_line) l
-  join sizes s on l.host = s.host and l.no_host = s.no_host
-  where n_docs > {MIN_DOCS} and 100 * n_docs > {MAX_SHARE_PERCENT} * n_host),
+  select host, no_host, lower_line from raw_lines where chars >= {MIN_LINE_CHARS}
+  group by host, no_host, lower_line having count(distinct row_id) > {MOST_DOCS}),
 removed as (
   select row_id, count(*) as n, sum(chars) as chars
   from raw_lines l join common c on l.host = c.host and l.no_host = c.no_host and l.lower_line = c.lower_line

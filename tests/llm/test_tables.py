@@ -2,7 +2,10 @@
 
 import random
 
+import duckdb
+
 from gridlake.llm import ngram_join, quality_rules, url_filters
+from testbed.compare import differences
 
 
 def test_join_against_all_pairs(spark, monkeypatch):
@@ -100,13 +103,48 @@ def test_common_lines(spark):
     rows = [(d, f"{own[d]}\n{line}", "h") for d in range(4)] + [(9, "\n".join([line] * 6), "h"), (10, None, None),
             (9, "\n".join([line] * 6), "h"), (11, own[5], None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    out = quality_rules.quality_rules(docs, min_docs=2, max_share=10).collect()
+    out = quality_rules.quality_rules(docs, most_docs=2, min_chars=1).collect()
     got = sorted((r.doc_id, r.n_removed_lines, r.kept) for r in out)
     assert got == sorted([(d, 1, True) for d in range(4)] + [(9, 6, False)] * 2 + [(10, 0, False), (11, 0, True)])
     assert {r.clean_text for r in out if r.doc_id == 0} == {own[0]}
     assert quality_rules.quality_rules(docs.limit(0)).count() == 0
 
 
+def test_common_lines_of_small_and_large_hosts_against_sql(spark, tmp_path):
+    """Lines are removed in a host of 6 documents as in one of 400; other hosts, short lines and 5 documents count not."""
+    rng = random.Random(8)
+    own = lambda n: " ".join(rng.choice("abcdefgh") * 5 + str(rng.random()) for _ in range(n))
+    line = "All Rights reserved by the makers of these pages, 2024"
+    rows = [(d, f"{own(30)}\n{line.upper()}\n{own(30)}", "small") for d in range(6)]
+    rows += [(d, f"{own(30)}\n  {line}", "five") for d in range(10, 15)]
+    rows += [(d, f"{own(30)}\nread more here", "short") for d in range(20, 40)]
+    rows += [(d, f"{own(3)}\n" + f"{line.replace('2024', str(d)[-4:].zfill(4))}\n" * 4, "large") for d in range(100, 106)]
+    rows += [(d, own(40), "large") for d in range(200, 594)]
+    rows += [(600, None, "small"), (601, "", None), (602, line, None), (602, line, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    removed = {d: r.n_removed_lines for d, r in out.items() if r.n_removed_lines}
+    assert removed == {**dict.fromkeys(range(6), 1), **dict.fromkeys(range(100, 106), 4)}
+    assert all(out[d].kept for d in (*range(6), *range(10, 15), *range(20, 40), *range(200, 594)))
+    assert not any(out[d].kept or out[d].base_failed for d in range(100, 106) if out[d].n_repeat_words == 0)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    n, found = differences(quality_rules.op8_quality_rules(spark, str(tmp_path)), db, quality_rules.ORACLE_SQL)
+    assert n == len(rows) and not found, found
+
+
+def test_a_document_of_common_lines_is_depleted(spark):
+    rng = random.Random(9)
+    shared = [" ".join(f"{rng.choice('xyz')}{rng.random()}" for _ in range(6)) for _ in range(8)]
+    rows = [(d, "\n".join([*shared, f"only here {d}"]), "h") for d in range(6)]
+    rows += [(9, "\n".join(" ".join(f"w{rng.random()}" for _ in range(6)) for _ in range(8)), "h")]
+    out = {r.doc_id: r for r in quality_rules.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [(out[d].base_failed, out[d].n_removed_lines, out[d].kept) for d in range(6)] == [(False, 8, False)] * 6
+    assert out[9].kept and out[0].clean_text == "only here 0"
+
+
 def test_hosts_paths_and_rules(spark):
     urls = {1: ("http://A.Example.ORG/en/1x?q=/es/", "a.example.org", "/en/1x", "example.org/en/1", "block"),
             2: ("https://example.org/es/", "example.org", "/es/", "example.org/es/", "block"),
