@@ -3,6 +3,11 @@
 Each stage takes the documents its predecessor kept, and all but the last return the columns of `documents`: toxic
 documents go, one document of each group of near copies stays, documents that hold benchmark items go, personal data is
 replaced by its kind (n_chars counts the new text), and what is left is packed into sequences.
+
+Edge cases: null and empty texts are clean, are copies of nothing and become sequences of the closing id alone; rows
+without an id stay rows of their own unless their texts are near copies; repeated rows are copies; a text of any length
+is read whole; without usable labels nothing is toxic; an empty table gives no rows; further columns pass through to the
+last stage, whatever their names, and n_chars may be missing.
 """
 
 from pyspark.sql import functions as F
@@ -15,10 +20,19 @@ from gridlake.llm.pii import fit_pii, redacted_column
 from gridlake.llm.toxicity import REJECT, fit_toxicity, with_toxicity
 
 
+def unused(name, docs):
+    """`name`, with underscores behind it until no column of `docs` is called so (names differ by case alone too)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark, docs, sf_dir):
     """Documents that score below the limit; a null text stays."""
     model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
-    return with_toxicity(docs, model, "_toxicity").where(F.col("_toxicity") < REJECT).select(docs.columns)
+    score = unused("_toxicity", docs)
+    return with_toxicity(docs, model, score).where(F.col(score) < REJECT).select(docs.columns)
 
 
 def drop_near_copies(spark, docs, sf_dir):
@@ -26,12 +40,14 @@ def drop_near_copies(spark, docs, sf_dir):
 
 
 def drop_contaminated(spark, docs, sf_dir):
-    found = with_hits(docs, read_table(spark, sf_dir, "benchmark"), "_hits")
-    return found.where(F.size("_hits") == 0).select(docs.columns)
+    hits = unused("_hits", docs)
+    return with_hits(docs, read_table(spark, sf_dir, "benchmark"), hits).where(F.size(hits) == 0).select(docs.columns)
 
 
 def redact_personal_data(spark, docs, sf_dir):
     clean = docs.withColumn("text", redacted_column(fit_pii(docs), F.col("text")))
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
