@@ -433,7 +433,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         kept.distinct().withColumn("kept", F.lit(True)).alias("k"),
         F.col("k.doc_id").eqNullSafe(found["doc_id"]) & (F.col("k.text_hash") == found["text_hash"])).select(
         found["doc_id"].alias("kept_id"), found["text_hash"].alias("kept_hash"), "copies"), "kept")
-    at = (F.col("kept_hash") == F.xxhash64("text")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    # Columns by table, as the documents may have columns of these names too.
+    at = (counted["kept_hash"] == F.xxhash64(docs["text"])) & docs["doc_id"].eqNullSafe(counted["kept_id"])
     empty = docs.where(~worded)
     single = docs.join(counted.where("copies = 1"), at, "left_semi")
     repeated = docs.join(counted.where("copies > 1"), at, "left_semi").dropDuplicates(["doc_id", "text"])
