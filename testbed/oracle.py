@@ -55,7 +55,6 @@ WEEK_ROWS = " over (partition by zone order by timestamp rows between 167 preced
 INTERVAL = "coalesce(nullif((hour(ts) * 60 + minute(ts)) // 15, 0), 96)"
 
 
-
 def read_in_order(rows, series):
     """Instants of local stamps of 2024, in the repeated hour by the order of the rows."""
     return f"""select * replace (case when not twice then utc when coalesce(bool_or(back) over (partition by {series}
