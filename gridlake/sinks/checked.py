@@ -7,11 +7,10 @@ broken, the table's name is moved to the new folder in one step; otherwise reade
 import uuid
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from gridlake.operators.quality import Contract, duplicate_keys
-from gridlake.sinks.tables import replace_partitions
+from gridlake.sinks.tables import observed, replace_partitions
 
 
 @dataclass(frozen=True)
@@ -31,16 +30,6 @@ class Build:
         return sum(self.failures.values())
 
 
-def _counted(seen: Observation, written: DataFrame, names: list[str]) -> dict[str, int]:
-    """The observed numbers; Spark drops the counter of an input that it knows to be empty."""
-    try:
-        return {name: seen.get[name] for name in names}
-    except Py4JJavaError:
-        if not written.isEmpty():
-            raise
-        return dict.fromkeys(names, 0)
-
-
 def publish_checked(df: DataFrame, name: str, root: str, contract: Contract, partition=(), cluster=()) -> Build:
     """Write `df` below `root` and let the view `name` show it if `contract` holds.
 
@@ -60,7 +49,7 @@ def publish_checked(df: DataFrame, name: str, root: str, contract: Contract, par
         watched.sortWithinPartitions(*cluster).write.parquet(path) if cluster else watched.write.parquet(path)
     # The schema is given, as an empty build by partition has no file to take it from.
     written = spark.read.schema(df.schema).parquet(path)
-    counts = _counted(seen, written, ["n_rows", *rules])
+    counts = observed(seen, written, ["n_rows", *rules])
     n_rows = counts.pop("n_rows")
     for column in contract.unique:
         counts[f"unique:{column}"] = duplicate_keys(written, column).count()

@@ -28,19 +28,26 @@ def _arranged(df: DataFrame, partition: list[str], cluster: list[str]) -> DataFr
     return df.hint("rebalance", *[F.col(c) for c in partition]).sortWithinPartitions(*partition, *cluster)
 
 
+def observed(seen: Observation, rows: DataFrame, names: list[str]) -> dict[str, int]:
+    """Numbers counted on the way of `rows`; zeros where Spark knew that there were none and left the counter out."""
+    try:
+        return {name: seen.get[name] for name in names}
+    except Py4JJavaError:
+        if not rows.isEmpty():
+            raise
+        return dict.fromkeys(names, 0)
+
+
 def _write(df: DataFrame, path: str, partition: list[str], cluster: list[str], mode: str) -> int:
     """Overwrite the table (`static`) or the partitions that have rows (`dynamic`); rows written.
 
     The rows are counted on their way, not by a pass of their own.
     """
     counted = Observation()
-    df = df.observe(counted, F.count(F.lit(1)).alias("n_rows"))
-    (_arranged(df, partition, cluster).write.mode("overwrite")
+    watched = df.observe(counted, F.count(F.lit(1)).alias("n_rows"))
+    (_arranged(watched, partition, cluster).write.mode("overwrite")
      .option("partitionOverwriteMode", mode).partitionBy(*partition).parquet(path))
-    try:
-        return counted.get["n_rows"]
-    except Py4JJavaError:  # Spark saw that there were no rows, so none passed the counter
-        return 0
+    return observed(counted, df, ["n_rows"])["n_rows"]
 
 
 def with_month(df: DataFrame, date_column: str) -> DataFrame:
